@@ -30,7 +30,7 @@ def with_margins(df: DataFrame, ts: str, width: int, before: int = 0, after: int
 
     A chunk holds the rows from `before` ahead of its start to `after` past its end (microseconds, both
     ends inclusive). `_own` is true in the chunk the row itself falls in. `copy_if` limits the copies to
-    the rows a margin needs.
+    the rows a margin needs. A row without time is kept, with no chunk.
     """
     us = epoch_micros(ts)
     own = chunk_of(us, width)
@@ -38,5 +38,5 @@ def with_margins(df: DataFrame, ts: str, width: int, before: int = 0, after: int
     chunks = F.sequence(lowest, highest)
     if copy_if is not None:
         chunks = F.when(copy_if, chunks).otherwise(F.array(own))
-    return df.withColumn("_home", own).withColumn(CHUNK, F.explode(chunks)).withColumn(
+    return df.withColumn("_home", own).withColumn(CHUNK, F.explode_outer(chunks)).withColumn(
         OWN, F.col(CHUNK) == F.col("_home")).drop("_home")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,36 +30,41 @@ def failure_bursts(df: DataFrame, key: str, ts: str, seq: str, failed: Column, m
     no success inside, there is a warning. The next failure after the window, or after a success, opens
     another. So which failures open windows depends on all failures before them.
 
-    Three steps, each of them on (key, time chunk) or smaller:
+    All steps work on (key, time chunk) or less, so a key with very many rows is shared out:
 
-    1. Window functions keep the runs of failures, no success between and no gap over `within`; the
-       first failure of a run always opens a window. All other rows go here.
-    2. Where a run goes on into the next chunk, the chunk yields a table from the failure that opens
-       its first window to the one that opens the next chunk's. The tables of a key are read off in
-       order, which gives each such chunk its first opening failure.
-    3. Each chunk steps from window to window.
+    1. Window functions keep the runs of failures (no success between, no gap over `within`). The first
+       failure of a run always opens a window, so runs do not depend on each other, and one no longer
+       than `within` is a single burst. Rows other than failures go no further.
+    2. Longer runs hold several bursts. Where one goes on into the next chunk, its chunk yields a table
+       from the failure that opens its first window to the one that opens the next chunk's. Read off in
+       order, the tables give each such chunk its first opening failure.
+    3. Each chunk of a longer run steps from window to window.
     """
     span = micros(within)
     width = micros(chunk) if chunk else MARGINS_PER_CHUNK * span
     if width < 2 * span:
         raise ValueError("a chunk must be at least twice as long as the window")
     runs = _failure_runs(df, key, ts, seq, failed, span, width, min_fails)
-    key_type = df.schema[key].dataType
-
-    crossing = runs.where("_crosses")
-    links_schema = T.StructType([
-        T.StructField(key, key_type), T.StructField(CHUNK, T.LongType()), T.StructField("upto", T.LongType()),
-        T.StructField("exit", T.LongType())])
-    links = crossing.groupBy(key, CHUNK).applyInPandas(_link_maker(key, span, width), links_schema)
-    entries_schema = T.StructType([
-        T.StructField(key, key_type), T.StructField(CHUNK, T.LongType()), T.StructField("_entry", T.LongType())])
-    entries = links.repartition(key).sortWithinPartitions(key, CHUNK, "upto").mapInPandas(
-        _entry_reader(key), entries_schema)
-
-    found_schema = T.StructType([
-        T.StructField(key, key_type), T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())])
-    found = runs.join(entries, [key, CHUNK], "left").groupBy(key, CHUNK).applyInPandas(
-        _burst_stepper(key, span, width, min_fails), found_schema)
+    key_field, chunk_field = T.StructField(key, df.schema[key].dataType), T.StructField(CHUNK, T.LongType())
+
+    single = runs.where(F.col("_single") & F.col("_opens") & F.col(OWN) & (F.col("_fails") >= min_fails) &
+                        F.coalesce(F.col("_run_stop") > F.col("_us") + span, F.lit(True)))
+    long = runs.where("NOT _single").select(key, CHUNK, OWN, "_us", "_seq", "_opens", "_stop")
+    crosses = F.max(~F.col(OWN) & ~F.col("_opens")).over(Window.partitionBy(key, CHUNK))
+    links = long.withColumn("_crosses", crosses).where("_crosses").groupBy(key, CHUNK).applyInPandas(
+        _link_maker(key, span, width),
+        T.StructType([key_field, chunk_field, T.StructField("upto", T.LongType()), T.StructField("exit", T.LongType())]))
+    # Only streamed through: no table of a key is held longer than it takes to read its line.
+    entries = links.repartition(F.col(key)).sortWithinPartitions(key, CHUNK, "upto").mapInArrow(
+        _entry_reader(key), T.StructType([key_field, chunk_field, T.StructField("_entry", T.LongType())]))
+    entries = entries.select(F.col(key).alias("_k"), F.col(CHUNK).alias("_c"), "_entry")
+    entered = long.join(entries, F.col(key).eqNullSafe(F.col("_k")) & (F.col(CHUNK) == F.col("_c")), "left").drop(
+        "_k", "_c")
+    stepped = entered.groupBy(key, CHUNK).applyInPandas(
+        _burst_stepper(key, span, width, min_fails),
+        T.StructType([key_field, T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())]))
+
+    found = single.select(key, F.col("_us").alias("first_us"), F.col("_last").alias("last_us")).unionByName(stepped)
     time_type = df.schema[ts].dataType
     return found.select(key, F.timestamp_micros("first_us").cast(time_type).alias("first_ts"),
                         F.timestamp_micros("last_us").cast(time_type).alias("last_ts"), F.lit(WARNING).alias("msg"))
@@ -66,18 +72,20 @@ def failure_bursts(df: DataFrame, key: str, ts: str, seq: str, failed: Column, m
 
 def _failure_runs(df: DataFrame, key: str, ts: str, seq: str, failed: Column, span: int, width: int,
                   min_fails: int) -> DataFrame:
-    """Failures in runs, per chunk plus the `span` after it. `_opens`: first of a run. `_stop`: time of
-    the success right after, if within `span`. `_crosses`: a run goes on into the chunk after."""
+    """Failures in runs, per chunk plus the `span` after it.
+
+    `_opens`: first of a run. `_stop`: time of the success right after, if within `span`. `_single`: the
+    run is seen whole and lasts no longer than `span`; `_fails`, `_last` and `_run_stop` describe it.
+    """
     rows = df.select(F.col(key), F.col(ts).alias("_ts"), F.col(seq).alias("_seq"),
                      F.coalesce(failed, F.lit(False)).alias("_fail"))
     rows = with_margins(rows, "_ts", width, before=span, after=2 * span).withColumn("_us", epoch_micros("_ts"))
     order = Window.partitionBy(key, CHUNK).orderBy("_ts", "_seq")
-    linked_back = F.coalesce(F.lag("_fail").over(order) & (F.col("_us") - F.lag("_us").over(order) <= span),
-                             F.lit(False))
+    linked_back = F.lag("_fail").over(order) & (F.col("_us") - F.lag("_us").over(order) <= span)
     next_near = F.lead("_us").over(order) - F.col("_us") <= span
     next_fail = F.lead("_fail").over(order)
     looked = rows.withColumns({
-        "_opens": ~linked_back,
+        "_opens": ~F.coalesce(linked_back, F.lit(False)),
         "_goes_on": F.coalesce(next_fail & next_near, F.lit(False)),
         "_stop": F.when(~next_fail & next_near, F.lead("_us").over(order)),
     })
@@ -85,8 +93,17 @@ def _failure_runs(df: DataFrame, key: str, ts: str, seq: str, failed: Column, sp
     kept = looked.where(F.col("_fail") & (F.col(OWN) | past_chunk.between(0, span - 1)))
     if min_fails > 1:
         kept = kept.where("NOT _opens OR _goes_on")
-    crosses = F.max(~F.col(OWN) & ~F.col("_opens")).over(Window.partitionBy(key, CHUNK))
-    return kept.withColumn("_crosses", crosses).select(key, CHUNK, OWN, "_us", "_seq", "_opens", "_stop", "_crosses")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy(key, CHUNK, "_run")
+    numbered = kept.withColumn("_run", F.sum(F.col("_opens").cast("int")).over(so_far)).withColumns({
+        "_fails": F.count(F.lit(1)).over(run),
+        "_last": F.max("_us").over(run),
+        "_run_stop": F.max("_stop").over(run),
+        # A row of the run without a next one is its end; rows before the first opening are number 0.
+        "_whole": ~F.min("_goes_on").over(run) & (F.col("_run") > 0),
+        "_long": F.max("_us").over(run) - F.min("_us").over(run) > span,
+    })
+    return numbered.withColumn("_single", F.col("_whole") & ~F.col("_long"))
 
 
 def _steps(pdf: pd.DataFrame, span: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
@@ -120,20 +137,22 @@ def _link_maker(key: str, span: int, width: int):
 
 
 def _entry_reader(key: str):
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, entry = None, _NEVER  # the chunk last seen, and the opening time it hands on
-        handed_from = None
-        for pdf in batches:
-            out = []
-            for k, chunk, upto, leaves in zip(pdf[key], pdf[CHUNK], pdf["upto"], pdf["exit"]):
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, handed_from, entry, read = None, None, _NEVER, False
+        for batch in batches:
+            keys, chunks, found = [], [], []
+            for k, chunk, upto, leaves in zip(*(batch.column(c).to_pylist() for c in (key, CHUNK, "upto", "exit"))):
                 if (k, chunk) != at:
-                    at = (k, chunk)
+                    at, read = (k, chunk), False
                     came = entry if handed_from == (k, chunk - 1) else _NEVER
-                    done = False
-                if not done and came <= upto:
-                    entry, handed_from, done = leaves, at, True
-                    out.append((k, chunk + 1, leaves))
-            yield pd.DataFrame(out, columns=[key, CHUNK, "_entry"])
+                if not read and came <= upto:
+                    entry, handed_from, read = leaves, at, True
+                    keys.append(k)
+                    chunks.append(chunk + 1)
+                    found.append(leaves)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, batch.schema.field(key).type), pa.array(chunks, pa.int64()),
+                 pa.array(found, pa.int64())], [key, CHUNK, "_entry"])
 
     return entries
 

@@ -26,9 +26,11 @@ def tag_late(df: DataFrame, ts: str, source: str, position: Sequence[str], size:
     df = df.withColumn(CHUNK, chunk_of(F.col(position[0]), chunk_rows))
     stretch_max = df.groupBy(source, CHUNK).agg(F.max(ts).alias("_max"))
     earlier = Window.partitionBy(source).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = stretch_max.select(source, CHUNK, F.max("_max").over(earlier).alias("_carried"))
+    carried = stretch_max.select(F.col(source).alias("_s"), F.col(CHUNK).alias("_c"),
+                                 F.max("_max").over(earlier).alias("_carried"))
     before = Window.partitionBy(source, CHUNK).orderBy(*position).rowsBetween(Window.unboundedPreceding, -1)
-    seen = df.join(carried, [source, CHUNK]).withColumn(
+    same = F.col(source).eqNullSafe(F.col("_s")) & F.col(CHUNK).eqNullSafe(F.col("_c"))
+    seen = df.join(carried, same).drop("_s", "_c").withColumn(
         "watermark", F.greatest("_carried", F.max(ts).over(before)) - interval(delay))
     closes = last_window_end(F.col(ts), size, slide or size) - interval(1_000) + interval(lateness)
     late = F.coalesce(closes <= F.col("watermark"), F.lit(False))

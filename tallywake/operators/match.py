@@ -39,19 +39,22 @@ def interval_match(left: DataFrame, right: DataFrame, keys: list[str], ts: str,
     l = left.select(F.struct(*left.columns).alias("l")).withColumn("l_chunk", chunk_of(epoch_micros(f"l.{ts}"), width))
     copies = with_margins(right.select(F.struct(*right.columns).alias("r"), F.col(ts).alias("_t")), "_t", width,
                           before=back, after=ahead)
-    us = epoch_micros(F.col("_t"))
-    r = copies.withColumn("n_copies", chunk_of(us + F.lit(back), width) - chunk_of(us - F.lit(ahead), width) + 1)
-    on = (F.col("l_chunk") == F.col(CHUNK))
+    us = epoch_micros("_t")
+    n_copies = chunk_of(us + F.lit(back), width) - chunk_of(us - F.lit(ahead), width) + 1
+    r = copies.withColumn("n_copies", F.coalesce(n_copies, F.lit(1)))
+    on = F.col("l_chunk") == F.col(CHUNK)
     for k in keys:
         on = on & (F.col(f"l.{k}") == F.col(f"r.{k}"))
     on = on & F.col(f"r.{ts}").between(F.col(f"l.{ts}") - interval(before), F.col(f"l.{ts}") + interval(after))
-    joined = l.join(r, on, "full_outer").select("l", "r", "n_copies")
+    joined = l.join(r, on, "full_outer")
+    settled = joined.where(F.col("l").isNotNull() | (F.col("n_copies") == 1)).select("l", "r")
 
-    lone_copy = F.col("l").isNull() & (F.col("n_copies") > 1)
-    settled = joined.where(~F.coalesce(lone_copy, F.lit(False))).select("l", "r")
-    # A right row with several copies is unmatched only if every copy is.
-    lone = joined.where(lone_copy).groupBy("r", "n_copies").agg(
-        F.first("l").alias("l"), F.count(F.lit(1)).alias("n")).where("n = n_copies").select("l", "r")
+    # A right row with several copies is unmatched only if every copy is. Such rows, and the left rows
+    # they can match, lie by a chunk border.
+    to_border = F.pmod(epoch_micros(f"l.{ts}"), F.lit(width))
+    by_border = l.where((to_border <= back + ahead) | (to_border >= width - back - ahead))
+    lone = r.where("n_copies > 1").join(by_border, on, "left_anti").groupBy("r", "n_copies").agg(
+        F.count(F.lit(1)).alias("n")).where("n = n_copies").select(F.lit(None).cast(l.schema["l"].dataType).alias("l"), "r")
     both = settled.unionByName(lone)
     outcome = (F.when(F.col("r").isNull(), NO_RIGHT).when(F.col("l").isNull(), NO_LEFT).otherwise(MATCHED))
     return both.select(

@@ -39,23 +39,18 @@ def decode_records(lines: DataFrame, schema: str, mode: str = "FAILFAST", keep:
     columns of the input to pass on.
     """
     fields = T.StructType.fromDDL(schema).fields
-    parts = F.split("value", ",")
-    columns = {f.name: _typed(F.get(parts, F.lit(i)), f.dataType) for i, f in enumerate(fields)}
-    complete = F.size(parts) >= len(fields)
-    for f in fields:
-        if not isinstance(f.dataType, T.StringType):
-            complete = complete & columns[f.name].isNotNull()
-    rows = _checked(lines, complete, mode).select(*keep, *[c.alias(n) for n, c in columns.items()])
+    columns = {f.name: _typed(F.get("_parts", F.lit(i)), f.dataType) for i, f in enumerate(fields)}
+    needed = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
+    rows = _records(lines, F.split("value", ","), len(fields), columns, needed, mode, keep)
     return rows.withColumn("ts", from_epoch("timestamp", TIME_UNIT.get(schema, "s")))
 
 
 def decode_access_log(lines: DataFrame, mode: str = "FAILFAST", keep: tuple[str, ...] = ()) -> DataFrame:
     """Access-log `value` lines to ip, user_id, ts, method, url. The zone field is ignored."""
-    parts = F.split("value", r"\s+")
-    columns = {name: F.get(parts, F.lit(i)) for name, i in LOG_FIELDS.items()}
+    columns = {name: F.get("_parts", F.lit(i)) for name, i in LOG_FIELDS.items()}
     columns["ts"] = F.try_to_timestamp(columns["ts"], F.lit(LOG_TIME))
-    complete = columns["ts"].isNotNull() & columns["url"].isNotNull()
-    return _checked(lines, complete, mode).select(*keep, *[c.alias(n) for n, c in columns.items()])
+    width = max(LOG_FIELDS.values()) + 1
+    return _records(lines, F.split("value", r"\s+"), width, columns, ["ts"], mode, keep)
 
 
 def encode_records(rows: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -68,12 +63,24 @@ def _typed(field: Column, dtype: T.DataType) -> Column:
     return F.nullif(field, F.lit("")) if isinstance(dtype, T.StringType) else field.try_cast(dtype)
 
 
-def _checked(lines: DataFrame, complete: Column, mode: str) -> DataFrame:
+def _records(lines: DataFrame, parts: Column, width: int, columns: dict[str, Column], needed: list[str], mode: str,
+             keep: tuple[str, ...]) -> DataFrame:
+    """Split each line once, type its fields once, and deal with lines that have too few fields or
+    nothing in a `needed` one."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if mode == "DROPMALFORMED":
-        return lines.where(complete)
+    typed = lines.select(*keep, "value", parts.alias("_parts")).select(
+        *keep, "value", (F.size("_parts") >= width).alias("_complete"), *[c.alias(n) for n, c in columns.items()])
+    complete = F.col("_complete")
+    for name in needed:
+        complete = complete & F.col(name).isNotNull()
+    record = F.struct(*columns)
     if mode == "FAILFAST":
         bad = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce("value", F.lit("null"))))
-        return lines.where(F.when(complete, F.lit(True)).otherwise(bad.cast("boolean")))
-    return lines
+        record = F.when(complete, record).otherwise(bad)
+    elif mode == "DROPMALFORMED":
+        record = F.when(complete, record)
+    # A generator rather than a projection: later filters are not moved below it, where they would parse
+    # every line again, and every line is checked whichever columns are used.
+    records = F.array(record) if mode != "DROPMALFORMED" else F.array_compact(F.array(record))
+    return typed.select(*keep, F.inline(records))
