@@ -203,8 +203,67 @@ SELECT event_id, user_id, item_id, CAST(item_id % 7 AS INTEGER) AS category_id,
 FROM items""",
     "window_arith": """SELECT event_id,
     time_bucket(INTERVAL '1 hour', ts - INTERVAL '15 minutes') + INTERVAL '15 minutes' AS hour_start,
-    epoch_ms(ts) - epoch_ms(ts) % 5000 AS five_second_start_ms,
-    date_trunc('day', ts) + INTERVAL '1 day' AS midnight, epoch_ms(ts) AS ms,
+    epoch_us(ts) // 1000 - epoch_us(ts) // 1000 % 5000 AS five_second_start_ms,
+    date_trunc('day', ts) + INTERVAL '1 day' AS midnight, epoch_us(ts) // 1000 AS ms,
     strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') || '.0' AS printed
 FROM events""",
 }
+
+
+def _mark(where: str = "true", delay: str = "0 seconds") -> str:
+    """A stream's watermark after the whole table: to the millisecond, as Spark keeps it."""
+    return (f"mark AS (SELECT make_timestamp(1000 * (epoch_us(max(ts)) // 1000 - {_ms(delay)})) AS upto "
+            f"FROM events WHERE {where})")
+
+
+def _ms(delay: str) -> int:
+    n, unit = delay.split()
+    return int(n) * {"seconds": 1000, "hours": 3_600_000}[unit]
+
+
+def _closed(sql: str, end: str, where: str = "true", delay: str = "0 seconds") -> str:
+    """The rows of a result that are final by the stream's watermark."""
+    return f"WITH {_mark(where, delay)} SELECT * FROM ({sql}) WHERE {end} <= (SELECT upto FROM mark)"
+
+
+ORACLES |= {
+    "stream_hot_items_topn": _closed(ORACLES["hot_items_topn"], "window_end", "event_type = 'view'"),
+    "stream_hot_pages_topn": f"WITH {_LOG}, {_sliding('requests', 'url', '2 hours', '5 minutes')} " + _top("url", 5),
+    "stream_page_views_hourly": _closed(ORACLES["page_views_hourly"], "window_end", "event_type = 'view'"),
+    "stream_page_views_salted": _closed(ORACLES["page_views_hourly"], "window_end", "event_type = 'view'"),
+    "stream_unique_visitors_hourly": _closed(ORACLES["unique_visitors_hourly"], "window_end", "event_type = 'view'"),
+    "stream_click_outcomes": _closed(_CAPPED + """
+SELECT event_id, user_id, ad_id, ts, CASE WHEN nth <= 10 THEN 'pass' ELSE 'blacklist' END AS outcome
+FROM ranked WHERE nth <= 11""", "ts"),
+    "stream_ad_clicks_sliding": _closed(_CAPPED + """,
+panes AS (SELECT province, time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS pane_end
+          FROM ranked WHERE nth <= 10),
+changes AS (SELECT province, pane_end AS happens, 1 AS delta FROM panes
+            UNION ALL SELECT province, pane_end + INTERVAL '1 hour', -1 FROM panes),
+net AS (SELECT province, happens, sum(delta) AS delta FROM changes GROUP BY ALL HAVING sum(delta) <> 0),
+level AS (SELECT province, happens AS from_end, lead(happens) OVER w AS to_end, CAST(sum(delta) OVER w AS BIGINT) AS cnt
+          FROM net WINDOW w AS (PARTITION BY province ORDER BY happens))
+SELECT * FROM level WHERE cnt > 0""", "to_end"),
+    "stream_market_by_channel": _closed(ORACLES["market_by_channel"], "to_end", "event_type <> 'signup'"),
+    "stream_login_fail_burst": _closed(_bursts("events", 2, "24 hours"), "first_ts + INTERVAL '24 hours'",
+                                       delay="3 seconds"),
+    "stream_login_fail_pair": _closed(_in_a_row(2, "12 hours"), "last_ts", delay="3 seconds"),
+    "stream_login_fail_pattern": _closed(_in_a_row(3, "1 day"), "last_ts", delay="3 seconds"),
+    "stream_order_pay_pattern": _closed(ORACLES["order_pay_pattern"], "coalesce(then_ts, timeout_ts)",
+                                        "event_type IN ('signup', 'purchase')"),
+    "stream_order_lifecycle": f"""WITH {_ITEMS}, {_mark("event_type IN ('signup', 'purchase')")},
+firsts AS (SELECT user_id, item_id, min(ts) FILTER (event_type = 'signup') AS create_ts,
+                  min(ts) FILTER (event_type = 'purchase') AS pay_ts
+           FROM items, mark WHERE event_type IN ('signup', 'purchase') AND ts <= upto GROUP BY ALL)
+SELECT user_id, item_id, create_ts, pay_ts,
+       CASE WHEN create_ts IS NULL OR pay_ts < create_ts THEN 'paid_no_create'
+            WHEN pay_ts < create_ts + INTERVAL '3 days' THEN 'paid'
+            WHEN pay_ts <= create_ts + INTERVAL '10 days' THEN 'paid_late' ELSE 'unpaid' END AS outcome
+FROM firsts, mark WHERE pay_ts IS NOT NULL OR create_ts + INTERVAL '3 days' <= upto""",
+    "stream_pay_receipt_match": f"""WITH marks AS (
+    SELECT least(max(ts) FILTER (event_type = 'purchase'), max(ts) FILTER (event_type = 'click')) AS upto FROM events)
+SELECT user_id, item_id, l_ts, l_event_id, r_ts, r_event_id, outcome
+FROM ({ORACLES["pay_receipt_match"]}), marks
+WHERE outcome = 'matched' OR l_ts + INTERVAL '5 days' < upto OR r_ts + INTERVAL '3 days' < upto""",
+    "stream_late_rows": ORACLES["late_rows"],
+}

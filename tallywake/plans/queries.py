@@ -46,6 +46,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return log_lines_of(item_events(spark, folder))
+
+
+def log_lines_of(items: DataFrame) -> DataFrame:
     """One access-log line per event, with its arrival place: up to 97 places out of order."""
     k, kind = F.col("item_id"), F.col("event_type")
     url = F.concat(F.lit("/"), kind, F.lit("/"), (k % 10).cast("string"),
@@ -55,7 +59,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").cast("string"), F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"),
         F.when(kind.isin("view", "click"), "GET").otherwise("POST"), url)
     arrival = F.col("event_id") + (F.col("event_id") * 7919) % 97
-    return item_events(spark, folder).select(
+    return items.select(
         "event_id", arrival.alias("arrival"), (F.col("event_id") % 4).alias("source"), line.alias("value"))
 
 
@@ -63,7 +67,7 @@ def access_log(spark: SparkSession, folder: str) -> DataFrame:
     return decode_access_log(log_lines(spark, folder), keep=("event_id", "arrival", "source"))
 
 
-def _plain(df: DataFrame) -> DataFrame:
+def plain(df: DataFrame) -> DataFrame:
     """Event times without zone."""
     return df.select(*[F.col(f.name).cast(NTZ).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
                        for f in df.schema.fields])
@@ -82,23 +86,23 @@ def rank_report_items(spark, folder):
 
 
 def hot_pages_topn(spark, folder):
-    return _plain(jobs.hot_pages(access_log(spark, folder), 5))
+    return plain(jobs.hot_pages(access_log(spark, folder), 5))
 
 
 def rank_report_pages(spark, folder):
-    return _plain(rank_report(jobs.hot_pages(access_log(spark, folder), 5), "url", PAGE_LINE))
+    return plain(rank_report(jobs.hot_pages(access_log(spark, folder), 5), "url", PAGE_LINE))
 
 
 def hot_pages_by_arrival(spark, folder):
     ranks, _ = jobs.hot_pages_by_arrival(access_log(spark, folder), "source", ["arrival", "event_id"], 5,
                                          delay="4 hours", lateness="30 minutes", size="2 hours", slide="5 minutes")
-    return _plain(ranks)
+    return plain(ranks)
 
 
 def hot_pages_late_rows(spark, folder):
     _, late = jobs.hot_pages_by_arrival(access_log(spark, folder), "source", ["arrival", "event_id"], 5,
                                         delay="4 hours", lateness="30 minutes", size="2 hours", slide="5 minutes")
-    return _plain(late.select("event_id", "url", "ts", "watermark"))
+    return plain(late.select("event_id", "url", "ts", "watermark"))
 
 
 def static_asset_filter(spark, folder):
@@ -221,7 +225,7 @@ def late_rows(spark, folder):
 
 
 def log_lines_parse(spark, folder):
-    return _plain(access_log(spark, folder).drop("arrival", "source"))
+    return plain(access_log(spark, folder).drop("arrival", "source"))
 
 
 def record_lines(spark, folder):
@@ -232,7 +236,7 @@ def record_lines(spark, folder):
 
 
 def record_lines_parse(spark, folder):
-    return _plain(decode_records(record_lines(spark, folder), USER_BEHAVIOR, keep=("event_id",)))
+    return plain(decode_records(record_lines(spark, folder), USER_BEHAVIOR, keep=("event_id",)))
 
 
 def window_arith(spark, folder):
