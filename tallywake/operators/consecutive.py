@@ -25,7 +25,7 @@ def consecutive_pattern(df: DataFrame, key: str, ts: str, seq: str, conditions:
     rows = df.select(F.col(key), F.col(ts).alias("_ts"), F.col(seq).alias("_seq"), *meets)
     back = len(meets) - 1
     if within is None:
-        return _unbounded(rows, key, back, micros(chunk or "1 day"))
+        return _unbounded(rows, key, back, micros(chunk or "1 hour"))
     span = micros(within)
     rows = with_margins(rows, "_ts", micros(chunk) if chunk else MARGINS_PER_CHUNK * span, before=span)
     matched = _looked_back(rows, Window.partitionBy(key, CHUNK).orderBy("_ts", "_seq"), back).where(OWN)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tallywake.functions.chunks import CHUNK, MARGINS_PER_CHUNK, OWN, with_margins
+from tallywake.functions.chunks import CHUNK, OWN, with_margins
 from tallywake.functions.durations import interval, micros
 
 
@@ -18,13 +18,12 @@ def followed_by(df: DataFrame, keys: Sequence[str], ts: str, seq: str, start: Co
 
     Gives (keys, start_ts, then_ts, outcome, timeout_ts): 'paid' when then_ts < start_ts + within,
     else 'timeout' with the time the wait ended. A `then` row with no start before it is ignored. A key
-    is cut into time chunks; only `then` rows are copied into the chunk before theirs.
+    is cut into time chunks, four waits long: only `then` rows are copied into the chunk before theirs.
     """
     span = micros(within)
     rows = df.select(*keys, F.col(ts).alias("_ts"), F.col(seq).alias("_seq"), start.alias("_start"),
                      then.alias("_then")).where("_start OR _then")
-    rows = with_margins(rows, "_ts", micros(chunk) if chunk else MARGINS_PER_CHUNK * span, after=span,
-                        copy_if=F.col("_then"))
+    rows = with_margins(rows, "_ts", micros(chunk) if chunk else 4 * span, after=span, copy_if=F.col("_then"))
     # Latest first, so the frame over the rows that follow in time grows row by row.
     later = (Window.partitionBy(*keys, CHUNK).orderBy(F.desc("_ts"), F.desc("_seq"))
              .rowsBetween(Window.unboundedPreceding, -1))

@@ -12,17 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.functions.filters import is_page, not_equal
 from tallywake.plans import queries as batch
+from tallywake.plans import stream_jobs as jobs
 from tallywake.plans.tables import table
 from tallywake.session import checkpoint_root
 from tallywake.sources.lines import decode_access_log
-from tallywake.streaming.counts import (distinct_count_stream, salted_count_stream, sliding_count_stream,
-                                        sliding_intervals_stream, tumbling_count_stream)
-from tallywake.streaming.detectors import (cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
-                                           followed_by_stream, order_lifecycle_stream)
 from tallywake.streaming.late import tag_late_stream
-from tallywake.streaming.match import interval_match_stream
 from tallywake.streaming.sinks import EachBatch, ranked, reranked, to_folder, write_stream
 
 
@@ -47,103 +42,92 @@ def finish(df: DataFrame, mode: str = "append", through: Callable[[str, EachBatc
     return batch.plain(df.sparkSession.read.parquet(f"{home}/out"))
 
 
-def views(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).where("event_type = 'view'")
+def behavior(spark: SparkSession, folder: str) -> DataFrame:
+    return events(spark, folder).withColumnRenamed("event_type", "behavior")
+
+
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "pay")
+    return events(spark, folder).withColumn("event_type", kind)
 
 
 def stream_hot_items_topn(spark, folder):
-    counts = sliding_count_stream(views(spark, folder), ["item_id"], "ts", "1 hour", "5 minutes")
-    out = finish(counts, through=lambda _, sink: ranked("item_id", 3, sink))
+    out = finish(jobs.item_counts(behavior(spark, folder), "view"), through=lambda _, sink: ranked("item_id", 3, sink))
     return out.select("item_id", "window_end", "cnt", "row_num")
 
 
 def stream_hot_pages_topn(spark, folder):
     """Counts shown before they are final and again with every late row; ranks as last shown."""
     log = decode_access_log(batch.log_lines_of(events(spark, folder)))
-    requests = log.where(is_page("url") & (F.col("method") == "GET"))
-    counts = sliding_count_stream(requests, ["url"], "ts", "2 hours", "5 minutes", "70 seconds")
+    counts = jobs.page_counts(log, "2 hours", "5 minutes", "70 seconds")
     out = finish(counts, "update", lambda scratch, sink: reranked("url", 5, f"{scratch}/counts", sink))
     last = out.groupBy("window_end").agg(F.max("batch").alias("batch"))
     return out.join(last, ["window_end", "batch"]).select("url", "window_end", "cnt", "row_num")
 
 
 def stream_page_views_hourly(spark, folder):
-    return finish(tumbling_count_stream(views(spark, folder), "ts", "1 hour")).select("window_end", "cnt")
+    return finish(jobs.page_views(behavior(spark, folder), "view")).drop("batch")
 
 
 def stream_page_views_salted(spark, folder):
-    out = finish(salted_count_stream(views(spark, folder), "ts", "1 hour", ["user_id"], 16))
-    return out.select("window_end", "cnt")
+    return finish(jobs.page_views(behavior(spark, folder), "view", salts=16)).drop("batch")
 
 
 def stream_unique_visitors_hourly(spark, folder):
-    return finish(distinct_count_stream(views(spark, folder), "ts", "1 hour", "user_id")).select("window_end", "cnt")
+    return finish(jobs.unique_visitors(behavior(spark, folder), "view")).drop("batch")
 
 
-def _clicks(spark, folder):
-    return events(spark, folder).select(
+def _outcomes(spark, folder):
+    clicks = events(spark, folder).select(
         "event_id", "user_id", F.col("event_type").alias("ad_id"), F.col("event_type").alias("province"), "ts")
+    return jobs.ad_outcomes(clicks, "event_id", 10)
 
 
 def stream_click_outcomes(spark, folder):
-    out = finish(cap_outcomes_stream(_clicks(spark, folder), ["user_id", "ad_id"], "ts", "event_id", 10))
-    return out.select("event_id", "user_id", "ad_id", "ts", "outcome")
+    return finish(_outcomes(spark, folder)).select("event_id", "user_id", "ad_id", "ts", "outcome")
 
 
 def stream_ad_clicks_sliding(spark, folder):
     """Cap and sliding counts in one query, in compact form."""
-    capped = cap_outcomes_stream(_clicks(spark, folder), ["user_id", "ad_id"], "ts", "event_id", 10)
-    counts = sliding_intervals_stream(capped.where("outcome = 'pass'"), ["province"], "ts", "1 hour", "5 seconds", None)
-    return finish(counts).drop("batch")
+    return finish(jobs.ad_clicks(_outcomes(spark, folder))).drop("batch")
 
 
 def stream_market_by_channel(spark, folder):
     actions = events(spark, folder).select(
         F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")).alias("channel"),
-        F.upper("event_type").alias("behavior"), "ts").where(not_equal("behavior", "signup"))
-    return finish(sliding_intervals_stream(actions, ["channel", "behavior"], "ts", "1 day", "5 seconds")).drop("batch")
-
-
-def _failed():
-    return F.col("event_type") == "error"
+        F.upper("event_type").alias("behavior"), "ts")
+    return finish(jobs.market_counts(actions, "signup")).drop("batch")
 
 
 def stream_login_fail_burst(spark, folder):
-    found = failure_bursts_stream(events(spark, folder), "user_id", "ts", "event_id", _failed(), 2, "24 hours")
-    return finish(found).drop("batch")
+    return finish(jobs.login_bursts(events(spark, folder), "event_id", "error", 2, "24 hours")).drop("batch")
 
 
 def stream_login_fail_pair(spark, folder):
-    found = consecutive_pattern_stream(events(spark, folder), "user_id", "ts", "event_id", [_failed()] * 2, "12 hours")
-    return finish(found).drop("batch")
+    return finish(jobs.login_pairs(events(spark, folder), "event_id", "error", "12 hours")).drop("batch")
 
 
 def stream_login_fail_pattern(spark, folder):
-    found = consecutive_pattern_stream(events(spark, folder), "user_id", "ts", "event_id", [_failed()] * 3, "1 day")
-    return finish(found).drop("batch")
+    return finish(jobs.login_pattern(events(spark, folder), "event_id", "error", "1 day")).drop("batch")
 
 
 def stream_order_pay_pattern(spark, folder):
-    kind = F.col("event_type")
-    found = followed_by_stream(events(spark, folder), ["user_id"], "ts", "event_id", kind == "signup",
-                               kind == "purchase", "1 day")
-    return finish(found).drop("batch")
+    return finish(jobs.order_payments(orders(spark, folder), ["user_id"], "event_id", "1 day")).drop("batch")
 
 
 def stream_order_lifecycle(spark, folder):
     """The last outcome given for each order."""
-    kind = F.col("event_type")
-    found = order_lifecycle_stream(events(spark, folder), ["user_id", "item_id"], "ts", "event_id", kind == "signup",
-                                   kind == "purchase", "3 days", "7 days", remember="60 days")
+    found = jobs.order_outcomes(orders(spark, folder), ["user_id", "item_id"], "event_id", "3 days", "7 days",
+                                remember="60 days")
     last = finish(found).groupBy("user_id", "item_id").agg(
         F.max_by(F.struct("create_ts", "pay_ts", "outcome"), "batch").alias("last"))
     return last.select("user_id", "item_id", "last.*")
 
 
 def stream_pay_receipt_match(spark, folder):
-    sides = [events(spark, folder).where(F.col("event_type") == kind).select("user_id", "item_id", "ts", "event_id")
-             for kind in ("purchase", "click")]
-    return finish(interval_match_stream(*sides, ["user_id", "item_id"], "ts", "3 days", "5 days")).drop("batch")
+    pays = orders(spark, folder).select("user_id", "item_id", "ts", "event_id", "event_type")
+    receipts = events(spark, folder).where("event_type = 'click'").select("user_id", "item_id", "ts", "event_id")
+    return finish(jobs.payment_receipts(pays, receipts, ["user_id", "item_id"], "3 days", "5 days")).drop("batch")
 
 
 def stream_late_rows(spark, folder):

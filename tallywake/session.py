@@ -44,6 +44,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for stream checkpoints: the cluster's own setting, else a local one for tests."""
+    """Shared folder for stream checkpoints, as named by spark.checkpoint.dir. Only a session on one
+    machine, as in tests, may leave it unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="tallywake-")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="tallywake-")
