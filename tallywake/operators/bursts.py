@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +50,7 @@ def failure_bursts(df: DataFrame, key: str, ts: str, seq: str, failed: Column, m
                         F.coalesce(F.col("_run_stop") > F.col("_us") + span, F.lit(True)))
     long = runs.where("NOT _single").select(key, CHUNK, OWN, "_us", "_seq", "_opens", "_stop")
     crosses = F.max(~F.col(OWN) & ~F.col("_opens")).over(Window.partitionBy(key, CHUNK))
-    links = long.withColumn("_crosses", crosses).where("_crosses").groupBy(key, CHUNK).applyInPandas(
+    links = long.withColumn("_crosses", crosses).where("_crosses").groupBy(key, CHUNK).applyInArrow(
         _link_maker(key, span, width),
         T.StructType([key_field, chunk_field, T.StructField("upto", T.LongType()), T.StructField("exit", T.LongType())]))
     # Only streamed through: no table of a key is held longer than it takes to read its line.
@@ -60,7 +59,7 @@ def failure_bursts(df: DataFrame, key: str, ts: str, seq: str, failed: Column, m
     entries = entries.select(F.col(key).alias("_k"), F.col(CHUNK).alias("_c"), "_entry")
     entered = long.join(entries, F.col(key).eqNullSafe(F.col("_k")) & (F.col(CHUNK) == F.col("_c")), "left").drop(
         "_k", "_c")
-    stepped = entered.groupBy(key, CHUNK).applyInPandas(
+    stepped = entered.groupBy(key, CHUNK).applyInArrow(
         _burst_stepper(key, span, width, min_fails),
         T.StructType([key_field, T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())]))
 
@@ -106,32 +105,38 @@ def _failure_runs(df: DataFrame, key: str, ts: str, seq: str, failed: Column, sp
     return numbered.withColumn("_single", F.col("_whole") & ~F.col("_long"))
 
 
-def _steps(pdf: pd.DataFrame, span: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+def _steps(rows: pa.Table, span: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     """Rows in order, their times, and for each the row that opens the window after the one it would open."""
-    pdf = pdf.sort_values(["_us", "_seq"], kind="stable", ignore_index=True)
-    us = pdf["_us"].to_numpy()
+    rows = rows.sort_by([("_us", "ascending"), ("_seq", "ascending")])
+    us = rows["_us"].to_numpy()
     after_window = np.searchsorted(us, us + span, side="right")
-    openings = np.append(np.flatnonzero(pdf["_opens"].to_numpy()), len(us))
+    openings = np.append(np.flatnonzero(rows["_opens"].to_numpy()), len(us))
     after_run = openings[np.searchsorted(openings, np.arange(len(us)), side="right")]
-    return pdf, us, np.minimum(after_window, after_run)
+    return rows, us, np.minimum(after_window, after_run)
+
+
+def _result(rows: pa.Table, key: str, columns: dict[str, np.ndarray | list]) -> pa.Table:
+    n = len(next(iter(columns.values())))
+    keys = pa.array([rows[key][0].as_py()] * n, rows.schema.field(key).type)
+    return pa.table({key: keys, **{c: pa.array(v, pa.int64()) for c, v in columns.items()}})
 
 
 def _link_maker(key: str, span: int, width: int):
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, us, following = _steps(pdf, span)
-        chunk, n_own, n = pdf[CHUNK].iloc[0], int(pdf[OWN].sum()), len(pdf)
+    def links(rows: pa.Table) -> pa.Table:
+        rows, us, following = _steps(rows, span)
+        chunk, n_own, n = rows[CHUNK][0].as_py(), int(rows[OWN].to_numpy().sum()), len(us)
         # Follow all rows at once until they leave the chunk; row n stands for "past the margin".
         hop = np.append(np.where(np.arange(n) < n_own, following, np.arange(n)), n)
         while (hop[hop] != hop).any():
             hop = hop[hop]
         times = np.append(us, _NEVER)
-        known = bool(pdf["_opens"].iloc[0]) or n_own == 0
+        known = rows["_opens"][0].as_py() or n_own == 0
         last = 0 if known else int(np.searchsorted(us, chunk * width + span, side="left"))
         exits = hop[: last + 1]
         ends = np.append(np.flatnonzero(np.diff(exits)), last)
         upto = times[ends]
         upto[-1] = _NEVER
-        return pd.DataFrame({key: pdf[key].iloc[0], CHUNK: chunk, "upto": upto, "exit": times[exits[ends]]})
+        return _result(rows, key, {CHUNK: np.full(len(ends), chunk), "upto": upto, "exit": times[exits[ends]]})
 
     return links
 
@@ -158,23 +163,22 @@ def _entry_reader(key: str):
 
 
 def _burst_stepper(key: str, span: int, width: int, min_fails: int):
-    def bursts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, us, following = _steps(pdf, span)
-        n_own = int(pdf[OWN].sum())
-        stop = pdf["_stop"].fillna(_NEVER).to_numpy()
-        out = []
+    def bursts(rows: pa.Table) -> pa.Table:
+        rows, us, following = _steps(rows, span)
+        n_own = int(rows[OWN].to_numpy().sum())
+        stop = rows["_stop"].fill_null(_NEVER).to_numpy()
         i = 0
-        if n_own and not pdf["_opens"].iloc[0]:
-            came = pdf["_entry"].iloc[0]
-            first = pdf[CHUNK].iloc[0] * width + span if pd.isna(came) else min(came, pdf[CHUNK].iloc[0] * width + span)
-            i = int(np.searchsorted(us, first, side="left"))
+        if not rows["_opens"][0].as_py():
+            entry = rows["_entry"][0].as_py()
+            settled = rows[CHUNK][0].as_py() * width + span
+            i = int(np.searchsorted(us, settled if entry is None else min(entry, settled), side="left"))
+        firsts, lasts = [], []
         while i < n_own:
             end = following[i]
             if end - i >= min_fails and stop[end - 1] > us[i] + span:
-                out.append((us[i], us[end - 1]))
+                firsts.append(us[i])
+                lasts.append(us[end - 1])
             i = end
-        found = pd.DataFrame(out, columns=["first_us", "last_us"], dtype="int64")
-        found.insert(0, key, pdf[key].iloc[0])
-        return found
+        return _result(rows, key, {"first_us": firsts, "last_us": lasts})
 
     return bursts
