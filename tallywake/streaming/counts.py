@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -61,43 +63,39 @@ class Stretches(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.changes = handle.getMapState("changes", "at bigint", "delta bigint")
-        self.level = handle.getValueState("level", "since bigint, cnt bigint")
+        # The open stretch, and the changes still to come in order. One value, as each state call leaves
+        # the process.
+        self.state = handle.getValueState("state", "since bigint, cnt bigint, at array<bigint>, delta array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            end, n = row["_end"], row["_n"]
-            for at, delta in ((end, n), (end + self.size, -n)):
-                before = self.changes.getValue((at,)) if self.changes.containsKey((at,)) else (0,)
-                self.changes.updateValue((at,), (before[0] + delta,))
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, [(r["_end"], r["_n"]) for r in rows], timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key: tuple, watermark_ms: int) -> Iterator[Row]:
+    def _advance(self, key: tuple, panes: list[tuple[int, int]], watermark_ms: int) -> Iterator[Row]:
         named = row_maker(self.names)
-        times = sorted(at for (at,) in self.changes.keys())
-        since, cnt = self.level.get() if self.level.exists() else (0, 0)
-        for at in times:
-            if at > watermark_ms * 1000:
-                break
-            delta = self.changes.getValue((at,))[0]
-            self.changes.removeKey((at,))
-            if delta:
+        since, cnt, at, delta = self.state.get() or (0, 0, [], [])
+        changes = Counter(dict(zip(at, delta)))
+        for end, n in panes:
+            changes[end] += n
+            changes[end + self.size] -= n
+        coming = sorted(changes.items())
+        due = bisect_right(coming, watermark_ms * 1000, key=lambda change: change[0])
+        for at_us, n in coming[:due]:
+            if n:
                 if cnt:
-                    yield named((*key, since, at, cnt))
-                since, cnt = at, cnt + delta
-        if cnt:
-            self.level.update((since, cnt))
-        else:
-            self.level.clear()
-        later = [at for at in times if at > watermark_ms * 1000]
+                    yield named((*key, since, at_us, cnt))
+                since, cnt = at_us, cnt + n
+        later = coming[due:]
         if later:
-            self.handle.registerTimer(-(-later[0] // 1000))
+            self.state.update((since, cnt, [a for a, _ in later], [n for _, n in later]))
+            self.handle.registerTimer(-(-later[0][0] // 1000))
+        else:
+            self.state.clear()
 
 
 def sliding_intervals_stream(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,

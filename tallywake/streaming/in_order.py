@@ -62,11 +62,11 @@ class InOrder(StatefulProcessor):
     def _advance(self, key: tuple, new: list[tuple], watermark_ms: int) -> Iterator[Row]:
         now = watermark_ms * 1000
         named = row_maker(self.names)
-        rows = sorted([*(tuple(r) for r in self.held.get()), *new], key=lambda r: (r[0], r[1]))
-        memory = self.memory.get() if self.memory.exists() else None
-        memory = self.start if memory is None else tuple(memory)
+        kept = [tuple(r) for r in self.held.get()]
+        stored = self.memory.get()
+        memory = self.start if stored is None else tuple(stored)
         waiting = []
-        for row in rows:
+        for row in sorted([*kept, *new], key=lambda r: (r[0], r[1])):
             if row[0] > now:
                 waiting.append(row)
                 continue
@@ -76,13 +76,19 @@ class InOrder(StatefulProcessor):
         memory, results = self.passed(memory, now)
         for result in results:
             yield named((*key, *result))
-        if waiting:
+
+        # Every state call leaves the process, so only changes are written.
+        if len(waiting) == len(kept) + len(new):
+            if new:
+                self.held.appendList(new)
+        elif waiting:
             self.held.put(waiting)
-        else:
+        elif kept:
             self.held.clear()
         if memory == self.start:
-            self.memory.clear()
-        else:
+            if stored is not None:
+                self.memory.clear()
+        elif stored is None or memory != tuple(stored):
             self.memory.update(memory)
         times = [t for t in (waiting[0][0] if waiting else None, self.wake(memory)) if t is not None]
         if times:

@@ -25,7 +25,8 @@ class NewestSoFar(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = row_maker(self.names)
-        newest = self.newest.get()[0] if self.newest.exists() else None
+        stored = self.newest.get()
+        newest = stored[0] if stored else None
         for row in sorted((tuple(r) for r in rows), key=lambda r: r[-self.places:]):
             us = row[-self.places - 1]
             yield named((*row[: -self.places - 1], newest))
