@@ -115,6 +115,13 @@ def _steps(rows: pa.Table, span: int) -> tuple[pa.Table, np.ndarray, np.ndarray]
     return rows, us, np.minimum(after_window, after_run)
 
 
+def _settled(rows: pa.Table, us: np.ndarray, carried_until: int) -> int:
+    """The first row that opens a window whatever came before the chunk: the first of a run, or the first
+    that no window from before the chunk can reach."""
+    return min(int(np.argmax(np.append(rows["_opens"].to_numpy(), True))),
+               int(np.searchsorted(us, carried_until, side="left")))
+
+
 def _result(rows: pa.Table, key: str, columns: dict[str, np.ndarray | list]) -> pa.Table:
     n = len(next(iter(columns.values())))
     keys = pa.array([rows[key][0].as_py()] * n, rows.schema.field(key).type)
@@ -130,8 +137,7 @@ def _link_maker(key: str, span: int, width: int):
         while (hop[hop] != hop).any():
             hop = hop[hop]
         times = np.append(us, _NEVER)
-        known = rows["_opens"][0].as_py() or n_own == 0
-        last = 0 if known else int(np.searchsorted(us, chunk * width + span, side="left"))
+        last = _settled(rows, us, chunk * width + span)
         exits = hop[: last + 1]
         ends = np.append(np.flatnonzero(np.diff(exits)), last)
         upto = times[ends]
@@ -167,11 +173,10 @@ def _burst_stepper(key: str, span: int, width: int, min_fails: int):
         rows, us, following = _steps(rows, span)
         n_own = int(rows[OWN].to_numpy().sum())
         stop = rows["_stop"].fill_null(_NEVER).to_numpy()
-        i = 0
-        if not rows["_opens"][0].as_py():
-            entry = rows["_entry"][0].as_py()
-            settled = rows[CHUNK][0].as_py() * width + span
-            i = int(np.searchsorted(us, settled if entry is None else min(entry, settled), side="left"))
+        entry = rows["_entry"][0].as_py()
+        i = _settled(rows, us, rows[CHUNK][0].as_py() * width + span)
+        if entry is not None:
+            i = min(i, int(np.searchsorted(us, entry, side="left")))
         firsts, lasts = [], []
         while i < n_own:
             end = following[i]

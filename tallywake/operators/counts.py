@@ -11,6 +11,10 @@ from pyspark.sql import Window
 from tallywake.functions.durations import interval, micros
 
 
+# Above this many windows a row, expanding is the larger part of a sliding count.
+MANY_WINDOWS = 24
+
+
 def tumbling_count(df: DataFrame, ts: str, size: str, keys: Sequence[str] = (), agg: Column | None = None,
                    out: str = "cnt") -> DataFrame:
     """Rows per (keys, window); no keys gives one count per window. Any aggregate column can stand in
@@ -92,8 +96,16 @@ def expand_intervals(intervals: DataFrame, keys: Sequence[str], slide: str) -> D
 
 def sliding_count(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
                   first_end: str | None = None) -> DataFrame:
-    """Rows per (keys, sliding window), one output row per window that holds any."""
-    return expand_intervals(sliding_intervals(df, keys, ts, size, slide, first_end), keys, slide)
+    """Rows per (keys, sliding window), one output row per window that holds any.
+
+    With many windows a row, the stretches are small next to what they expand to, and a few keys may
+    hold them all: they are dealt out over all tasks first, by key and time.
+    """
+    stretches = sliding_intervals(df, keys, ts, size, slide, first_end)
+    if micros(size) > MANY_WINDOWS * micros(slide):
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        stretches = stretches.repartition(tasks, *keys, "from_end")
+    return expand_intervals(stretches, keys, slide)
 
 
 def sliding_count_sql(df: DataFrame, key: str, ts: str, size: str, slide: str) -> DataFrame:

@@ -144,11 +144,11 @@ def test_bursts_cases(spark):
 
 @pytest.mark.parametrize("seed,p_fail,min_fails,chunk", [
     (1, 0.95, 2, "4 seconds"), (2, 1.0, 3, "5 seconds"), (3, 0.6, 2, "4 seconds"), (4, 0.9, 1, "7 seconds"),
-    (5, 0.98, 4, None)])
+    (5, 0.98, 4, None), (6, 0.8, 2, "4 seconds"), (7, 0.7, 2, "5 seconds")])
 def test_bursts_over_many_chunks(spark, seed, p_fail, min_fails, chunk):
     """Runs much longer than a chunk, and one user with most of the rows."""
-    rows = random_logins(seed, 25, 60, 60, p_fail) + [
-        (99, k, t) for _, k, t in random_logins(seed + 50, 1, 1, 1, 1) for t in
+    rows = random_logins(seed, 120, 60, 60, p_fail) + [
+        (999, k, t) for _, k, t in random_logins(seed + 50, 1, 1, 1, 1) for t in
         [round(random.Random(seed * 1000 + i).uniform(0, 90), 2) for i in range(400)]]
     got = spans(failure_bursts(frame(spark, rows, LOGIN), "user_id", "ts", "seq", failed(), min_fails, "2 seconds", chunk))
     assert got == bursts(rows, min_fails, 2.0)
