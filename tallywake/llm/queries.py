@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallywake.llm import simhash
+from tallywake.llm import line_dedup, simhash
 from tallywake.plans.tables import table
 
 
@@ -15,5 +16,12 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_simhash,)}
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without its repeated passages, and what that took away."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = line_dedup.dedup(docs, removed="removed")
+    return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "text")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_simhash, op8_line_dedup)}
 ORACLES: dict[str, str] = {}
