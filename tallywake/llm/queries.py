@@ -7,10 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.llm import line_dedup, simhash
+from tallywake.llm import decontaminate, language, line_dedup, quality_rules, records, simhash
+from tallywake.llm.common import split_of
+from tallywake.llm.tokens import vocabulary
 from tallywake.plans.tables import table
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(split_of("doc_id", 3) == 1, F.lit(False)))
+    known = language.prototypes(docs.where("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), known).drop("text")
+
+
+def op4_records(spark: SparkSession, folder: str) -> DataFrame:
+    return records.token_file(table(spark, folder, "documents"), vocabulary())
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, folder, "benchmark"))
+    n_hit = F.size("leak.hit_words").cast("bigint")
+    return found.select(
+        "doc_id", F.col("leak.n_words").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("leak.items").cast("bigint").alias("n_items"), F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -23,5 +51,6 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_simhash, op8_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup)}
 ORACLES: dict[str, str] = {}
