@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, language, line_dedup, quality_rules, records, simhash
+from tallywake.llm import decontaminate, language, line_dedup, packing, quality_rules, records, secrets, simhash
 from tallywake.llm.common import split_of
 from tallywake.llm.tokens import vocabulary
 from tallywake.plans.tables import table
@@ -51,6 +51,22 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "text")
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "novel")
+
+    def line(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup)}
+    op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
+    op9_secrets, op10_packing)}
 ORACLES: dict[str, str] = {}
