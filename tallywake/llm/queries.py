@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, language, line_dedup, packing, quality_rules, records, secrets, simhash
+from tallywake.llm import decontaminate, kneser_ney, language, line_dedup, packing, quality_rules, records, secrets, simhash
 from tallywake.llm.common import split_of
 from tallywake.llm.tokens import vocabulary
 from tallywake.plans.tables import table
 
 
+def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1 AND toxic = 0")
+    found = kneser_ney.judge(table(spark, folder, "documents").select("doc_id", "text", "lang"), trusted)
+    return found.select("doc_id", "lang", "log_perplexity", "most", "kept")
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(split_of("doc_id", 3) == 1, F.lit(False)))
     known = language.prototypes(docs.where("NOT held_out"))
@@ -67,6 +73,6 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
+    op2_kneser_ney, op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
     op9_secrets, op10_packing)}
 ORACLES: dict[str, str] = {}
