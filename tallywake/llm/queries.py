@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, kneser_ney, language, line_dedup, packing, quality_rules, records, secrets, simhash
+from tallywake.llm import decontaminate, kneser_ney, language, line_dedup, packing, pitman_yor, quality_rules, records, secrets, simhash
 from tallywake.llm.common import split_of
 from tallywake.llm.tokens import vocabulary
 from tallywake.plans.tables import table
 
 
+def op1_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", F.coalesce(split_of("doc_id", 7) == 2, F.lit(False)))
+    model = pitman_yor.train(docs.where("NOT held_out"))
+    scores = pitman_yor.score(docs, model)
+    rows = docs.select("doc_id", "held_out", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
+    return rows.join(scores, "print").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
 def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     trusted = table(spark, folder, "labels").where("quality = 1 AND toxic = 0")
     found = kneser_ney.judge(table(spark, folder, "documents").select("doc_id", "text", "lang"), trusted)
@@ -73,6 +82,6 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_kneser_ney, op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
+    op1_pitman_yor, op2_kneser_ney, op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
     op9_secrets, op10_packing)}
 ORACLES: dict[str, str] = {}
