@@ -155,6 +155,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     found = groups(docs, doc_id, text, shingle, distance)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs[doc_id] == kept["_kept"]).groupBy("_kept").agg(
-        F.min_by(F.struct(*[docs[c] for c in docs.columns]), F.xxhash64(docs[text])).alias("_row"))
-    return named.select("_row.*").unionByName(docs.where(docs[doc_id].isNull()))
+    # The row as one struct, so that no column of it can clash with the names used here.
+    whole = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_print"), F.struct(*docs.columns).alias("_row"))
+    named = whole.join(kept, F.col("_id") == F.col("_kept")).groupBy("_kept").agg(F.min_by("_row", "_print").alias("_row"))
+    return named.select("_row.*").unionByName(docs.where(F.col(doc_id).isNull()))
