@@ -50,11 +50,12 @@ def interval_match(left: DataFrame, right: DataFrame, keys: list[str], ts: str,
     settled = joined.where(F.col("l").isNotNull() | (F.col("n_copies") == 1)).select("l", "r")
 
     # A right row with several copies is unmatched only if every copy is. Such rows, and the left rows
-    # they can match, lie by a chunk border.
+    # they can match, lie by a chunk border. Equal rows are counted, and come out as often as they came.
     to_border = F.pmod(epoch_micros(f"l.{ts}"), F.lit(width))
     by_border = l.where((to_border <= back + ahead) | (to_border >= width - back - ahead))
     lone = r.where("n_copies > 1").join(by_border, on, "left_anti").groupBy("r", "n_copies").agg(
-        F.count(F.lit(1)).alias("n")).where("n = n_copies").select(F.lit(None).cast(l.schema["l"].dataType).alias("l"), "r")
+        F.count(F.lit(1)).alias("n"), F.count_distinct(CHUNK).alias("chunks")).where("chunks = n_copies").select(
+        F.lit(None).cast(l.schema["l"].dataType).alias("l"), "r", F.explode(F.expr("sequence(1, n div n_copies)"))).select("l", "r")
     both = settled.unionByName(lone)
     outcome = (F.when(F.col("r").isNull(), NO_RIGHT).when(F.col("l").isNull(), NO_LEFT).otherwise(MATCHED))
     return both.select(

@@ -43,8 +43,9 @@ def page_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 second
 
 def late_requests(log: DataFrame, source: str, position: Sequence[str]) -> DataFrame:
     """Requests whose windows were all closed when they arrived."""
-    tagged = tag_late_stream(page_requests(log), "ts", source, position, "10 minutes", "5 seconds", "10 seconds", "1 minute")
-    return tagged.where("is_late")
+    # All rows move the watermark, also those that are no page requests.
+    tagged = tag_late_stream(log, "ts", source, position, "10 minutes", "5 seconds", "10 seconds", "1 minute")
+    return page_requests(tagged).where("is_late")
 
 
 def page_views(behavior: DataFrame, viewed: str = "pv", salts: int | None = None, delay: str = "0 seconds") -> DataFrame:
@@ -117,10 +118,11 @@ def reported(key: str, n: int, line: str, sink: EachBatch) -> EachBatch:
 
 
 def to_console(label: str) -> EachBatch:
-    """Print a micro-batch, for looking at small results."""
+    """Print every row of a micro-batch, one partition at a time."""
     def each(batch: DataFrame, batch_id: int) -> None:
         print(f"{label}> batch {batch_id}")
-        batch.show(truncate=False)
+        for row in batch.toLocalIterator():
+            print(*row, sep="\t")
 
     return each
 

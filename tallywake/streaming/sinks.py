@@ -24,14 +24,15 @@ def write_stream(df: DataFrame, name: str, sink: str | EachBatch = "console", mo
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def by_outcome(sinks: Mapping[str, EachBatch], column: str = "outcome") -> EachBatch:
-    """Send the rows of each outcome to its own sink. The micro-batch is kept while they are written, so
+def by_outcome(sinks: Mapping[str, EachBatch], rest: EachBatch, column: str = "outcome") -> EachBatch:
+    """Send the rows of each outcome to its own sink, those of any other outcome or none to `rest`. The micro-batch is kept while they are written, so
     the operator before it runs once."""
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for value, sink in sinks.items():
                 sink(batch.where(F.col(column) == value), batch_id)
+            rest(batch.where(~F.coalesce(F.col(column).isin(*sinks), F.lit(False))), batch_id)
         finally:
             batch.unpersist()
 

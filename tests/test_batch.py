@@ -234,6 +234,16 @@ def test_match_bounds_and_first(spark):
     assert Counter(r["outcome"] for r in first.where("tx = 'e'").collect()) == {"no_receipt": 1, "no_pay": 1}
 
 
+def test_match_keeps_repeated_rows(spark):
+    """Equal receipts by a chunk border and away from it, matched and lone, come out as often as they came."""
+    pays = frame(spark, [("a", 15.0), ("b", 40.0)], "tx string, t double")
+    times = [16.0, 16.0, 31.0, 31.0, 31.0, 24.0, 24.0]
+    receipts = frame(spark, [("a", t) for t in times], "tx string, t double").withColumn("seq", F.lit(0))
+    got = interval_match(pays, receipts, ["tx"], "ts", "seq", chunk="16 seconds")
+    found = Counter((r["outcome"], r["r_t"]) for r in got.collect())
+    assert found == {("matched", 16.0): 2, ("no_pay", 31.0): 3, ("no_pay", 24.0): 2, ("no_receipt", None): 1}
+
+
 # ---- late rows
 
 def test_late_rows_against_a_walk(spark):

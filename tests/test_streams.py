@@ -99,7 +99,7 @@ def test_cap(spark, tmp_path, reset):
     keys = ["user_id", "ad_id"]
     capped = cap_outcomes_stream(stream, keys, "ts", "seq", 5, f"{DELAY} seconds", reset)
     sides = {v: to_folder(str(tmp_path / v)) for v in ("pass", "blacklist")}
-    query = write_stream(capped, f"cap-{reset}", by_outcome(sides), "append", str(tmp_path / "state"), {"availableNow": True})
+    query = write_stream(capped, f"cap-{reset}", by_outcome(sides, to_folder(str(tmp_path / "rest"))), "append", str(tmp_path / "state"), {"availableNow": True})
     assert query.awaitTermination(240)
     want = cap_outcomes(whole, keys, "ts", "seq", 5, reset)
     columns = ["user_id", "ad_id", "city", "t", "seq", "ts", "outcome"]
