@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, kneser_ney, language, line_dedup, packing, pitman_yor, quality_rules, records, secrets, simhash
+from tallywake.llm import (
+    decontaminate, kneser_ney, language, line_dedup, nra, packing, pitman_yor, prefix_trie, quality_rules, records, secrets, simhash, variants)
 from tallywake.llm.common import split_of
 from tallywake.llm.tokens import vocabulary
 from tallywake.plans.tables import table
@@ -81,7 +82,31 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op11_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nra.search(rows, rows.where("vec_id % 100 = 0")).select("query_id", "rank", "vec_id", "score")
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pitman_yor, op2_kneser_ney, op3_language, op4_records, op5_decontaminate, op6_quality_rules, op7_simhash, op8_line_dedup,
-    op9_secrets, op10_packing)}
-ORACLES: dict[str, str] = {}
+    op9_secrets, op10_packing, op11_top_k, op12_prefix_trie, op13_spelling)}
+ORACLES: dict[str, str] = {
+    "op11_top_k": """
+        WITH whole AS (
+            SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+            FROM whole q JOIN whole r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 10""",
+}
