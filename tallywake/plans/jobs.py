@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywake.functions.filters import is_page, not_equal
@@ -19,6 +19,7 @@ from tallywake.operators.counts import (distinct_count, salted_count, sliding_co
 from tallywake.operators.late import first_open_end, tag_late
 from tallywake.operators.match import interval_match
 from tallywake.operators.orders import followed_by, order_lifecycle
+from tallywake.operators.pairs import pair_match
 from tallywake.operators.rank import top_n, top_n_sql
 
 
@@ -34,9 +35,13 @@ def hot_items_sql(behavior: DataFrame, n: int = 5, viewed: str = "pv") -> DataFr
     return top_n_sql(sliding_count_sql(views, "item_id", "ts", "1 hour", "5 minutes"), "item_id", n)
 
 
+def is_page_request() -> Column:
+    """Whether a log row asks for a page with GET; static assets are none."""
+    return is_page("url") & (F.col("method") == "GET")
+
+
 def page_requests(log: DataFrame) -> DataFrame:
-    """GET requests of pages, static assets left out."""
-    return log.where(is_page("url") & (F.col("method") == "GET"))
+    return log.where(is_page_request())
 
 
 def hot_pages(log: DataFrame, n: int = 5) -> DataFrame:
@@ -122,3 +127,10 @@ def payment_receipts(orders: DataFrame, receipts: DataFrame, keys: Sequence[str]
     """Payments and receipts of one transaction, with the lone ones of both sides."""
     pays = orders.where(F.col("event_type") == "pay").drop("event_type")
     return interval_match(pays, receipts, list(keys), "ts", seq, before, after, unique)
+
+
+def payment_receipt_pairs(orders: DataFrame, receipts: DataFrame, keys: Sequence[str] = ("tx_id",), seq: str = "seq",
+                          before: str = "3 seconds", after: str = "5 seconds", chunk: str | None = None) -> DataFrame:
+    """`payment_receipts` one to one: each payment with the receipt that has waited longest, each receipt with the payment."""
+    pays = orders.where(F.col("event_type") == "pay").drop("event_type")
+    return pair_match(pays, receipts, list(keys), "ts", seq, before, after, chunk)

@@ -113,6 +113,40 @@ SELECT {names}, l.ts AS l_ts, l.event_id AS l_event_id, l.value AS l_value,
 FROM l FULL JOIN r ON {same} AND r.ts BETWEEN l.ts - INTERVAL '{before}' AND l.ts + INTERVAL '{after}'"""
 
 
+def _one_to_one(before: str, after: str) -> str:
+    """The pairing rule row by row, all users at once: `q` holds the rows that wait, all of one side."""
+    def us(of: str) -> str:
+        return f"epoch_us(TIMESTAMP '1970-01-01' + INTERVAL '{of}')"
+
+    return f"""WITH RECURSIVE numbered AS (
+    SELECT user_id, epoch_us(ts) AS us, event_type = 'purchase' AS pay, event_id, ts, value,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'click', event_id) AS rn,
+           CASE WHEN event_type = 'purchase' THEN {us(after)} ELSE {us(before)} END AS wait
+    FROM events WHERE event_type IN ('purchase', 'click')),
+walk AS (
+    SELECT user_id, rn, [{{'id': event_id, 'pay': pay, 'until': us + wait}}] AS q,
+           CAST(NULL AS BIGINT) AS l_event_id, CAST(NULL AS BIGINT) AS r_event_id
+    FROM numbered WHERE rn = 1
+    UNION ALL
+    SELECT user_id, rn,
+           CASE WHEN len(open) > 0 AND open[1].pay <> pay THEN open[2:]
+                ELSE list_append(open, {{'id': event_id, 'pay': pay, 'until': us + wait}}) END,
+           CASE WHEN len(open) > 0 AND open[1].pay <> pay THEN CASE WHEN pay THEN event_id ELSE open[1].id END END,
+           CASE WHEN len(open) > 0 AND open[1].pay <> pay THEN CASE WHEN pay THEN open[1].id ELSE event_id END END
+    FROM (SELECT e.*, [x FOR x IN w.q IF x.until >= e.us] AS open
+          FROM walk w JOIN numbered e ON e.user_id = w.user_id AND e.rn = w.rn + 1)),
+found AS (
+    SELECT l_event_id, r_event_id FROM walk WHERE l_event_id IS NOT NULL
+    UNION ALL
+    SELECT event_id, NULL FROM numbered WHERE pay AND event_id NOT IN (SELECT l_event_id FROM walk WHERE l_event_id IS NOT NULL)
+    UNION ALL
+    SELECT NULL, event_id FROM numbered WHERE NOT pay AND event_id NOT IN (SELECT r_event_id FROM walk WHERE r_event_id IS NOT NULL))
+SELECT coalesce(l.user_id, r.user_id) AS user_id, l.ts AS l_ts, l.event_id AS l_event_id, l.value AS l_value,
+       r.ts AS r_ts, r.event_id AS r_event_id, r.value AS r_value,
+       CASE WHEN r.event_id IS NULL THEN 'no_receipt' WHEN l.event_id IS NULL THEN 'no_pay' ELSE 'matched' END AS outcome
+FROM found LEFT JOIN events l ON l.event_id = l_event_id LEFT JOIN events r ON r.event_id = r_event_id"""
+
+
 _HOURLY_VIEWS = """SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
 FROM events WHERE event_type = 'view' GROUP BY ALL"""
 
@@ -187,6 +221,7 @@ FROM firsts""",
     "pay_receipt_match": _match(["user_id", "item_id"], "3 days", "5 days"),
     "pay_receipt_match_first": _match(["user_id", "item_id"], "3 days", "5 days", first=True),
     "pay_receipt_match_users": _match(["user_id"], "10 minutes", "20 minutes"),
+    "pay_receipt_match_pairs": _one_to_one("12 hours", "1 day"),
     "late_rows": """WITH seen AS (
     SELECT event_id, ts, event_id % 4 AS source, event_id + (event_id * 7919) % 97 AS arrival FROM events),
 marked AS (SELECT *, max(ts) OVER (PARTITION BY source ORDER BY arrival, event_id
@@ -210,32 +245,24 @@ FROM events""",
 }
 
 
-def _mark(where: str = "true", delay: str = "0 seconds") -> str:
-    """A stream's watermark after the whole table: to the millisecond, as Spark keeps it."""
-    return (f"mark AS (SELECT make_timestamp(1000 * (epoch_us(max(ts)) // 1000 - {_ms(delay)})) AS upto "
-            f"FROM events WHERE {where})")
-
+_OUTCOMES = """SELECT event_id, user_id, ad_id, ts, CASE WHEN nth <= {0} THEN 'pass' ELSE 'blacklist' END AS outcome
+FROM ranked WHERE nth <= {0} + 1"""
 
-def _ms(delay: str) -> int:
-    n, unit = delay.split()
-    return int(n) * {"seconds": 1000, "hours": 3_600_000}[unit]
 
-
-def _closed(sql: str, end: str, where: str = "true", delay: str = "0 seconds") -> str:
-    """The rows of a result that are final by the stream's watermark."""
-    return f"WITH {_mark(where, delay)} SELECT * FROM ({sql}) WHERE {end} <= (SELECT upto FROM mark)"
+def _only(sql: str, *columns: str) -> str:
+    return f"SELECT {', '.join(columns)} FROM ({sql})"
 
 
+# A stream that has come to its end has given what the batch job gives.
 ORACLES |= {
-    "stream_hot_items_topn": _closed(ORACLES["hot_items_topn"], "window_end", "event_type = 'view'"),
-    "stream_hot_pages_topn": f"WITH {_LOG}, {_sliding('requests', 'url', '2 hours', '5 minutes')} " + _top("url", 5),
-    "stream_page_views_hourly": _closed(ORACLES["page_views_hourly"], "window_end", "event_type = 'view'"),
-    "stream_page_views_salted": _closed(ORACLES["page_views_hourly"], "window_end", "event_type = 'view'"),
-    "stream_unique_visitors_hourly": _closed(ORACLES["unique_visitors_hourly"], "window_end", "event_type = 'view'"),
-    "stream_click_outcomes": _closed(_CAPPED + """
-SELECT event_id, user_id, ad_id, ts, CASE WHEN nth <= 10 THEN 'pass' ELSE 'blacklist' END AS outcome
-FROM ranked WHERE nth <= 11""", "ts"),
-    "stream_ad_clicks_sliding": _closed(_CAPPED + """,
+    "stream_hot_items_topn": ORACLES["hot_items_topn"],
+    "stream_hot_pages_topn": ORACLES["hot_pages_topn"],
+    "stream_page_views_hourly": ORACLES["page_views_hourly"],
+    "stream_page_views_salted": ORACLES["page_views_hourly"],
+    "stream_unique_visitors_hourly": ORACLES["unique_visitors_hourly"],
+    "stream_click_outcomes": _CAPPED + _OUTCOMES.format(10),
+    "stream_click_cap_daily": _only(ORACLES["click_cap_daily"], "event_id", "user_id", "ad_id", "ts", "outcome"),
+    "stream_ad_clicks_sliding": _CAPPED + """,
 panes AS (SELECT province, time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS pane_end
           FROM ranked WHERE nth <= 10),
 changes AS (SELECT province, pane_end AS happens, 1 AS delta FROM panes
@@ -243,27 +270,16 @@ changes AS (SELECT province, pane_end AS happens, 1 AS delta FROM panes
 net AS (SELECT province, happens, sum(delta) AS delta FROM changes GROUP BY ALL HAVING sum(delta) <> 0),
 level AS (SELECT province, happens AS from_end, lead(happens) OVER w AS to_end, CAST(sum(delta) OVER w AS BIGINT) AS cnt
           FROM net WINDOW w AS (PARTITION BY province ORDER BY happens))
-SELECT * FROM level WHERE cnt > 0""", "to_end"),
-    "stream_market_by_channel": _closed(ORACLES["market_by_channel"], "to_end", "event_type <> 'signup'"),
-    "stream_login_fail_burst": _closed(_bursts("events", 2, "24 hours"), "first_ts + INTERVAL '24 hours'",
-                                       delay="3 seconds"),
-    "stream_login_fail_pair": _closed(_in_a_row(2, "12 hours"), "last_ts", delay="3 seconds"),
-    "stream_login_fail_pattern": _closed(_in_a_row(3, "1 day"), "last_ts", delay="3 seconds"),
-    "stream_order_pay_pattern": _closed(ORACLES["order_pay_pattern"], "coalesce(then_ts, timeout_ts)",
-                                        "event_type IN ('signup', 'purchase')"),
-    "stream_order_lifecycle": f"""WITH {_ITEMS}, {_mark("event_type IN ('signup', 'purchase')")},
-firsts AS (SELECT user_id, item_id, min(ts) FILTER (event_type = 'signup') AS create_ts,
-                  min(ts) FILTER (event_type = 'purchase') AS pay_ts
-           FROM items, mark WHERE event_type IN ('signup', 'purchase') AND ts <= upto GROUP BY ALL)
-SELECT user_id, item_id, create_ts, pay_ts,
-       CASE WHEN create_ts IS NULL OR pay_ts < create_ts THEN 'paid_no_create'
-            WHEN pay_ts < create_ts + INTERVAL '3 days' THEN 'paid'
-            WHEN pay_ts <= create_ts + INTERVAL '10 days' THEN 'paid_late' ELSE 'unpaid' END AS outcome
-FROM firsts, mark WHERE pay_ts IS NOT NULL OR create_ts + INTERVAL '3 days' <= upto""",
-    "stream_pay_receipt_match": f"""WITH marks AS (
-    SELECT least(max(ts) FILTER (event_type = 'purchase'), max(ts) FILTER (event_type = 'click')) AS upto FROM events)
-SELECT user_id, item_id, l_ts, l_event_id, r_ts, r_event_id, outcome
-FROM ({ORACLES["pay_receipt_match"]}), marks
-WHERE outcome = 'matched' OR l_ts + INTERVAL '5 days' < upto OR r_ts + INTERVAL '3 days' < upto""",
+SELECT * FROM level WHERE cnt > 0""",
+    "stream_market_by_channel": ORACLES["market_by_channel"],
+    "stream_login_fail_burst": ORACLES["login_fail_burst"],
+    "stream_login_fail_pair": ORACLES["login_fail_pair"],
+    "stream_login_fail_pattern": ORACLES["login_fail_pattern"],
+    "stream_order_pay_pattern": ORACLES["order_pay_pattern"],
+    "stream_order_lifecycle": ORACLES["order_lifecycle"],
+    "stream_pay_receipt_match": _only(
+        ORACLES["pay_receipt_match"], "user_id", "item_id", "l_ts", "l_event_id", "r_ts", "r_event_id", "outcome"),
+    "stream_pay_receipt_pairs": ORACLES["pay_receipt_match_pairs"],
     "stream_late_rows": ORACLES["late_rows"],
+    "stream_late_requests": ORACLES["hot_pages_late_rows"],
 }

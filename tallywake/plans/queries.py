@@ -217,6 +217,13 @@ def pay_receipt_match_users(spark, folder):
                                  "10 minutes", "20 minutes")
 
 
+def pay_receipt_match_pairs(spark, folder):
+    """One to one, by user: every payment and receipt comes out once."""
+    pays, receipts = _payments_and_receipts(spark, folder)
+    return jobs.payment_receipt_pairs(pays.drop("item_id"), receipts.drop("item_id"), ["user_id"], "event_id",
+                                      "12 hours", "1 day", "10 days")
+
+
 def late_rows(spark, folder):
     ev = events(spark, folder).select(
         "event_id", "ts", (F.col("event_id") % 4).alias("source"),
@@ -255,7 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         behavior_counts_hourly, daily_unique_users, click_cap_total, click_blacklist, click_cap_daily,
         ad_clicks_sliding, market_by_channel, login_fail_burst, login_fail_burst_long, login_fail_pair,
         login_fail_pair_unbounded, login_fail_pattern, order_pay_pattern, order_lifecycle, pay_receipt_match,
-        pay_receipt_match_first, pay_receipt_match_users, late_rows, log_lines_parse, record_lines,
+        pay_receipt_match_first, pay_receipt_match_users, pay_receipt_match_pairs, late_rows, log_lines_parse, record_lines,
         record_lines_parse, window_arith,
     )
 }

@@ -1,7 +1,8 @@
 """The jobs as streams over the given tables, run to the end of what is there.
 
-A stream gives only what its watermark has made final. With a whole table read, the watermark is the
-newest event time less the delay, so the last windows and waits stay open.
+A stream gives only what its watermark has made final, so the end of the input has to be told: after the table a closing
+row comes, far ahead in time, which moves the watermark and is no part of any result. So each stream gives what its
+batch job gives, the last windows and waits included.
 """
 
 from __future__ import annotations
@@ -17,131 +18,183 @@ from tallywake.plans import stream_jobs as jobs
 from tallywake.plans.tables import table
 from tallywake.session import checkpoint_root
 from tallywake.sources.lines import decode_access_log
+from tallywake.streaming.event_time import after_watermark, with_event_time
 from tallywake.streaming.late import tag_late_stream
-from tallywake.streaming.sinks import EachBatch, ranked, reranked, to_folder, write_stream
+from tallywake.streaming.sinks import EachBatch, ranked, to_folder, write_stream
 
+CLOSING = "TIMESTAMP '2999-12-31 00:00:00'"
+# The closing row's event_id; those of the table are not negative.
+CLOSING_ID = -1
 
-def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's files as they are found. The pattern takes a file as well as a folder of files."""
-    schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+Source = Callable[[], DataFrame]
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    return stream(spark, folder, "events").withColumn("item_id", F.get_json_object("props", "$.k").cast("bigint"))
+def run(spark: SparkSession, folder: str, build: Callable[[Source], DataFrame], mode: str = "append",
+        through: Callable[[EachBatch], EachBatch] | None = None, files: int | None = None) -> DataFrame:
+    """Run the stream that `build` makes of the table `events` to its end; its output as a table, `batch` being the
+    micro-batch of a row. `through` puts a step before the sink; `files` is the most files of a micro-batch.
 
+    First all files are taken. Then the closing row is put in a folder the stream watches as well, and the query goes on from its
+    checkpoint: the row can so be in no micro-batch before the last.
+    """
+    home = f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
+    given = table(spark, folder, "events")
+    closing = spark.range(1).select(*[F.expr({
+        "event_id": str(CLOSING_ID), "ts": CLOSING, "event_type": "'closing'", "props": "'{\"k\": 0}'"}.get(f.name, "0")).cast(
+        f.dataType).alias(f.name) for f in given.schema.fields])
+    closing.limit(0).write.parquet(f"{home}/closing")
+
+    def source() -> DataFrame:
+        # The pattern takes a file as well as a folder of files.
+        reader = spark.readStream.schema(given.schema)
+        most = {"maxFilesPerTrigger": files} if files else {}
+        rows = reader.options(**most).parquet(f"{folder}/events.parque[t]").unionByName(reader.parquet(f"{home}/closing"))
+        return rows.withColumn("item_id", F.get_json_object("props", "$.k").cast("bigint"))
 
-def finish(df: DataFrame, mode: str = "append", through: Callable[[str, EachBatch], EachBatch] | None = None) -> DataFrame:
-    """Run a stream over all there is; its output as a table, `batch` being the micro-batch of a row.
-    `through` puts a step between, given a scratch folder and the sink."""
-    home = f"{checkpoint_root(df.sparkSession)}/run-{uuid.uuid4().hex}"
     sink = to_folder(f"{home}/out")
-    query = write_stream(df, f"run-{uuid.uuid4().hex}", through(f"{home}/scratch", sink) if through else sink, mode,
-                         f"{home}/state", {"availableNow": True})
-    query.awaitTermination()
-    return batch.plain(df.sparkSession.read.parquet(f"{home}/out"))
+    stream = build(source)
+    for last in (False, True):
+        if last:
+            closing.write.mode("append").parquet(f"{home}/closing")
+        write_stream(stream, f"run-{uuid.uuid4().hex}", through(sink) if through else sink, mode, f"{home}/state",
+                     {"availableNow": True}).awaitTermination()
+    return batch.plain(spark.read.parquet(f"{home}/out"))
+
 
+def timed(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """The rows of the table, with the watermark of all rows, the closing one included."""
+    return after_watermark(with_event_time(rows, "ts", delay), "ts", F.col("event_id") != CLOSING_ID)
 
-def behavior(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).withColumnRenamed("event_type", "behavior")
 
+def behavior(source: Source) -> DataFrame:
+    return timed(source()).withColumnRenamed("event_type", "behavior")
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+
+def orders(source: Source) -> DataFrame:
     kind = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "pay")
-    return events(spark, folder).withColumn("event_type", kind)
+    return timed(source()).withColumn("event_type", kind)
 
 
 def stream_hot_items_topn(spark, folder):
-    out = finish(jobs.item_counts(behavior(spark, folder), "view"), through=lambda _, sink: ranked("item_id", 3, sink))
+    out = run(spark, folder, lambda ev: jobs.item_counts(behavior(ev), "view", None), through=lambda sink: ranked("item_id", 3, sink))
     return out.select("item_id", "window_end", "cnt", "row_num")
 
 
 def stream_hot_pages_topn(spark, folder):
-    """Counts shown before they are final and again with every late row; ranks as last shown."""
-    log = decode_access_log(batch.log_lines_of(events(spark, folder)))
-    counts = jobs.page_counts(log, "2 hours", "5 minutes", "70 seconds")
-    out = finish(counts, "update", lambda scratch, sink: reranked("url", 5, f"{scratch}/counts", sink))
+    """Ranks as windows end, and again with every late row; those last shown."""
+    out = run(spark, folder, lambda ev: jobs.page_ranks(decode_access_log(batch.log_lines_of(ev())), 5))
     last = out.groupBy("window_end").agg(F.max("batch").alias("batch"))
     return out.join(last, ["window_end", "batch"]).select("url", "window_end", "cnt", "row_num")
 
 
 def stream_page_views_hourly(spark, folder):
-    return finish(jobs.page_views(behavior(spark, folder), "view")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.page_views(behavior(ev), "view", delay=None)).drop("batch")
 
 
 def stream_page_views_salted(spark, folder):
-    return finish(jobs.page_views(behavior(spark, folder), "view", salts=16)).drop("batch")
+    return run(spark, folder, lambda ev: jobs.page_views(behavior(ev), "view", 16, None)).drop("batch")
 
 
 def stream_unique_visitors_hourly(spark, folder):
-    return finish(jobs.unique_visitors(behavior(spark, folder), "view")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.unique_visitors(behavior(ev), "view", None)).drop("batch")
 
 
-def _outcomes(spark, folder):
-    clicks = events(spark, folder).select(
+def _outcomes(source: Source, max_count: int = 10, reset: str = "never") -> DataFrame:
+    clicks = timed(source()).select(
         "event_id", "user_id", F.col("event_type").alias("ad_id"), F.col("event_type").alias("province"), "ts")
-    return jobs.ad_outcomes(clicks, "event_id", 10)
+    return jobs.ad_outcomes(clicks, "event_id", max_count, reset, None)
 
 
 def stream_click_outcomes(spark, folder):
-    return finish(_outcomes(spark, folder)).select("event_id", "user_id", "ad_id", "ts", "outcome")
+    return run(spark, folder, _outcomes).select("event_id", "user_id", "ad_id", "ts", "outcome")
+
+
+def stream_click_cap_daily(spark, folder):
+    """One click a day (UTC+8) of each user and kind, and the first one over it."""
+    out = run(spark, folder, lambda ev: _outcomes(ev, 1, "daily"))
+    return out.select("event_id", "user_id", "ad_id", "ts", "outcome")
 
 
 def stream_ad_clicks_sliding(spark, folder):
     """Cap and sliding counts in one query, in compact form."""
-    return finish(jobs.ad_clicks(_outcomes(spark, folder))).drop("batch")
+    return run(spark, folder, lambda ev: jobs.ad_clicks(_outcomes(ev))).drop("batch")
 
 
 def stream_market_by_channel(spark, folder):
-    actions = events(spark, folder).select(
-        F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")).alias("channel"),
-        F.upper("event_type").alias("behavior"), "ts")
-    return finish(jobs.market_counts(actions, "signup")).drop("batch")
+    def counts(source: Source) -> DataFrame:
+        channel = F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")).alias("channel")
+        return jobs.market_counts(timed(source()).select(channel, F.upper("event_type").alias("behavior"), "ts"), "signup", delay=None)
+
+    return run(spark, folder, counts).drop("batch")
 
 
 def stream_login_fail_burst(spark, folder):
-    return finish(jobs.login_bursts(events(spark, folder), "event_id", "error", 2, "24 hours")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.login_bursts(timed(ev(), "3 seconds"), "event_id", "error", 2, "24 hours", None)).drop("batch")
 
 
 def stream_login_fail_pair(spark, folder):
-    return finish(jobs.login_pairs(events(spark, folder), "event_id", "error", "12 hours")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.login_pairs(timed(ev(), "3 seconds"), "event_id", "error", "12 hours", None)).drop("batch")
 
 
 def stream_login_fail_pattern(spark, folder):
-    return finish(jobs.login_pattern(events(spark, folder), "event_id", "error", "1 day")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.login_pattern(timed(ev(), "3 seconds"), "event_id", "error", "1 day", None)).drop("batch")
 
 
 def stream_order_pay_pattern(spark, folder):
-    return finish(jobs.order_payments(orders(spark, folder), ["user_id"], "event_id", "1 day")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.order_payments(orders(ev), ["user_id"], "event_id", "1 day", None)).drop("batch")
 
 
 def stream_order_lifecycle(spark, folder):
     """The last outcome given for each order."""
-    found = jobs.order_outcomes(orders(spark, folder), ["user_id", "item_id"], "event_id", "3 days", "7 days",
-                                remember="60 days")
-    last = finish(found).groupBy("user_id", "item_id").agg(
+    found = run(spark, folder, lambda ev: jobs.order_outcomes(
+        orders(ev), ["user_id", "item_id"], "event_id", "3 days", "7 days", None, "60 days"))
+    last = found.groupBy("user_id", "item_id").agg(
         F.max_by(F.struct("create_ts", "pay_ts", "outcome"), "batch").alias("last"))
     return last.select("user_id", "item_id", "last.*")
 
 
+def _sides(source: Source, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Payments (of all orders) and receipts, as two streams of the table."""
+    receipts = after_watermark(timed(source()), "ts", F.col("event_type") == "click")
+    return orders(source).select(*columns, "event_type"), receipts.select(*columns)
+
+
 def stream_pay_receipt_match(spark, folder):
-    pays = orders(spark, folder).select("user_id", "item_id", "ts", "event_id", "event_type")
-    receipts = events(spark, folder).where("event_type = 'click'").select("user_id", "item_id", "ts", "event_id")
-    return finish(jobs.payment_receipts(pays, receipts, ["user_id", "item_id"], "3 days", "5 days")).drop("batch")
+    return run(spark, folder, lambda ev: jobs.payment_receipts(
+        *_sides(ev, "user_id", "item_id", "ts", "event_id"), ["user_id", "item_id"], "3 days", "5 days", None)).drop("batch")
+
+
+def stream_pay_receipt_pairs(spark, folder):
+    """One to one, by user."""
+    return run(spark, folder, lambda ev: jobs.payment_receipt_pairs(
+        *_sides(ev, "user_id", "ts", "event_id", "value"), ["user_id"], "event_id", "12 hours", "1 day", None)).drop("batch")
 
 
 def stream_late_rows(spark, folder):
-    ev = events(spark, folder).select(
-        "event_id", "ts", (F.col("event_id") % 4).alias("source"),
-        (F.col("event_id") + (F.col("event_id") * 7919) % 97).alias("arrival"))
-    return finish(tag_late_stream(ev, "ts", "source", ["arrival", "event_id"], "1 hour", delay="4 hours")).drop("batch")
+    def tagged(source: Source) -> DataFrame:
+        ev = source().where(F.col("event_id") != CLOSING_ID).select(
+            "event_id", "ts", (F.col("event_id") % 4).alias("source"),
+            (F.col("event_id") + (F.col("event_id") * 7919) % 97).alias("arrival"))
+        return tag_late_stream(ev, "ts", "source", ["arrival", "event_id"], "1 hour", delay="4 hours")
+
+    return run(spark, folder, tagged).drop("batch")
+
+
+def stream_late_requests(spark, folder):
+    """Page requests that arrive after all their windows are closed."""
+    def late(source: Source) -> DataFrame:
+        lines = batch.log_lines_of(source().where(F.col("event_id") != CLOSING_ID))
+        log = decode_access_log(lines, keep=("event_id", "arrival", "source"))
+        return jobs.late_requests(log, "source", ["arrival", "event_id"], "2 hours", "5 minutes", "4 hours", "30 minutes")
+
+    return run(spark, folder, late).select("event_id", "url", "ts", "watermark")
 
 
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         stream_hot_items_topn, stream_hot_pages_topn, stream_page_views_hourly, stream_page_views_salted,
-        stream_unique_visitors_hourly, stream_click_outcomes, stream_ad_clicks_sliding, stream_market_by_channel,
+        stream_unique_visitors_hourly, stream_click_outcomes, stream_click_cap_daily, stream_ad_clicks_sliding, stream_market_by_channel,
         stream_login_fail_burst, stream_login_fail_pair, stream_login_fail_pattern, stream_order_pay_pattern,
-        stream_order_lifecycle, stream_pay_receipt_match, stream_late_rows,
+        stream_order_lifecycle, stream_pay_receipt_match, stream_pay_receipt_pairs, stream_late_rows, stream_late_requests,
     )
 }

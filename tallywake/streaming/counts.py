@@ -14,16 +14,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tallywake.functions.durations import micros
 from tallywake.functions.times import epoch_micros
 from tallywake.operators.counts import tumbling_count
+from tallywake.streaming.event_time import with_event_time
 from tallywake.streaming.in_order import row_maker
 
 
-def with_event_time(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
-    """Set the watermark, which needs a timestamp with zone; None keeps the one `ts` has already."""
-    if delay is None:
-        return df
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-
-
 def tumbling_count_stream(df: DataFrame, ts: str, size: str, keys: Sequence[str] = (),
                           delay: str | None = "0 seconds") -> DataFrame:
     return tumbling_count(with_event_time(df, ts, delay), ts, size, keys)

@@ -31,7 +31,7 @@ class Cap(InOrder):
         return (n, day), [(*row[3:], "pass" if n <= self.max_count else "blacklist")]
 
 
-def cap_outcomes_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int, delay: str = "0 seconds",
+def cap_outcomes_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int, delay: str | None = "0 seconds",
                         reset: str = "never", zone: str = "Asia/Shanghai") -> DataFrame:
     """Batch form: operators.caps.cap_outcomes. `ts` keeps its watermark."""
     day = F.lit(0)
@@ -73,7 +73,7 @@ class Bursts(InOrder):
 
 
 def failure_bursts_stream(df: DataFrame, key: str, ts: str, seq: str, failed: Column, min_fails: int = 2,
-                          within: str = "2 seconds", delay: str = "3 seconds") -> DataFrame:
+                          within: str = "2 seconds", delay: str | None = "3 seconds") -> DataFrame:
     """Batch form: operators.bursts.failure_bursts."""
     found = in_order(df, [key], ts, seq, delay, [F.coalesce(failed, F.lit(False)).alias("_fail")], Bursts, min_fails,
                      micros(within), results="first_us bigint, last_us bigint")
@@ -98,7 +98,7 @@ class Consecutive(InOrder):
 
 
 def consecutive_pattern_stream(df: DataFrame, key: str, ts: str, seq: str, conditions: Sequence[Column],
-                               within: str | None = None, delay: str = "3 seconds") -> DataFrame:
+                               within: str | None = None, delay: str | None = "3 seconds") -> DataFrame:
     """Batch form: operators.consecutive.consecutive_pattern."""
     marks = F.lit(0)
     for i, condition in enumerate(conditions):
@@ -136,12 +136,11 @@ class FollowedBy(InOrder):
 
 
 def followed_by_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, start: Column, then: Column,
-                       within: str = "15 minutes", delay: str = "0 seconds") -> DataFrame:
+                       within: str = "15 minutes", delay: str | None = "0 seconds") -> DataFrame:
     """Batch form: operators.orders.followed_by."""
     span = micros(within)
-    rows = df.where(start | then)
-    found = in_order(rows, keys, ts, seq, delay, [start.alias("_start"), then.alias("_then")], FollowedBy, span,
-                     results="start_us bigint, then_us bigint")
+    found = in_order(df, keys, ts, seq, delay, [start.alias("_start"), then.alias("_then")], FollowedBy, span,
+                     results="start_us bigint, then_us bigint", only=start | then)
     paid = F.col("then_us").isNotNull()
     return found.select(
         *keys, F.timestamp_micros("start_us").alias("start_ts"), F.timestamp_micros("then_us").alias("then_ts"),
@@ -196,13 +195,13 @@ class Lifecycle(InOrder):
 
 
 def order_lifecycle_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, created: Column, paid: Column,
-                           limit: str = "15 minutes", late_grace: str = "1 day", delay: str = "0 seconds",
+                           limit: str = "15 minutes", late_grace: str = "1 day", delay: str | None = "0 seconds",
                            remember: str = "7 days") -> DataFrame:
     """Batch form: operators.orders.order_lifecycle. An order that is not paid in time gives `unpaid`
     then, and a second row if it is paid in the grace; the last row of an order is the batch result. An
     order is forgotten `remember` after its limit and grace; events later than that start it afresh."""
-    rows = df.where(created | paid)
-    found = in_order(rows, keys, ts, seq, delay, [created.alias("_created"), paid.alias("_paid")], Lifecycle,
-                     micros(limit), micros(late_grace), micros(remember), results="create_us bigint, pay_us bigint, outcome string")
+    found = in_order(df, keys, ts, seq, delay, [created.alias("_created"), paid.alias("_paid")], Lifecycle,
+                     micros(limit), micros(late_grace), micros(remember), results="create_us bigint, pay_us bigint, outcome string",
+                     only=created | paid)
     return found.select(*keys, F.timestamp_micros("create_us").alias("create_ts"),
                         F.timestamp_micros("pay_us").alias("pay_ts"), "outcome")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallywake.functions.times import epoch_micros
+from tallywake.streaming.event_time import after_watermark, with_event_time
 
 
 def row_maker(names: Sequence[str]) -> Callable[[tuple], Row]:
@@ -96,12 +97,13 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(max(-(-min(times) // 1000), watermark_ms + 1))
 
 
-def in_order(df: DataFrame, keys: Sequence[str], ts: str, seq: str, delay: str, columns: Sequence[Column],
-             processor: type[InOrder], *args: Any, results: str, event_time: str = "") -> DataFrame:
-    """Run a detector over a stream: `columns` are what it sees of a row after its time and seq. The
-    `event_time` result column, if any, carries the watermark on to windows later in the query; its rows
+def in_order(df: DataFrame, keys: Sequence[str], ts: str, seq: str, delay: str | None, columns: Sequence[Column],
+             processor: type[InOrder], *args: Any, results: str, event_time: str = "", only: Column | None = None) -> DataFrame:
+    """Run a detector over a stream: `columns` are what it sees of a row after its time and seq, `only` which rows it
+    sees (all move the watermark). A `delay` of None keeps the watermark set before. The `event_time` result column, if any, carries the watermark on to windows later in the query; its rows
     come out in the micro-batch whose watermark passes them, so they are in time for those."""
-    rows = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).select(
+    timed = with_event_time(df, ts, delay)
+    rows = (timed if only is None else after_watermark(timed, ts, only)).select(
         *keys, epoch_micros(ts).alias("_us"), F.col(seq).alias("_seq"), *columns, ts)
     held = T.StructType([f for f in rows.schema.fields if f.name not in keys])
     key_fields = [f for f in rows.schema.fields if f.name in keys]

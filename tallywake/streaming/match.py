@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from tallywake.functions.durations import interval
 from tallywake.operators.match import MATCHED, NO_LEFT, NO_RIGHT
+from tallywake.streaming.event_time import with_event_time
 
 
 def interval_match_stream(left: DataFrame, right: DataFrame, keys: list[str], ts: str, before: str = "3 seconds",
-                          after: str = "5 seconds", delay: str = "0 seconds") -> DataFrame:
+                          after: str = "5 seconds", delay: str | None = "0 seconds") -> DataFrame:
     """Batch form: operators.match.interval_match, all pairs. State of both sides is dropped once the
     slower stream's watermark is past the span; then unmatched rows come out."""
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
-        return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns]).withWatermark(f"{prefix}_{ts}", delay)
+        return with_event_time(df, ts, delay).select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
     l_ts, r_ts = F.col(f"l_{ts}"), F.col(f"r_{ts}")
     on = (r_ts >= l_ts - interval(before)) & (r_ts <= l_ts + interval(after))
