@@ -2,35 +2,27 @@
 
 from __future__ import annotations
 
-import uuid
+import sys
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
+from types import ModuleType
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from tallywake.session import checkpoint_root
+from tallywake.session import shared_folder, stored  # noqa: F401  for the operators
+
+T = TypeVar("T")
 
 # White space of the word pattern [^\x20\x09-\x0D]+, as a class of a regular expression.
 SPACE = r"[ \t-\r]"
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors see."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows from a table in the shared folder: cuts the lineage, survives lost executors."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     """Partitions of a shuffle as set by spark.sql.shuffle.partitions, which is sized to the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,6 +33,20 @@ def split_of(doc_id: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor)).cast("int")
 
 
+def of_process(key: tuple, make: Callable[[], T]) -> T:
+    """What `make` gives, made once in a worker process and kept for the tasks after, which get this module anew."""
+    kept = sys.modules.setdefault("tallywake_kept", ModuleType("tallywake_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def unused(name: str, names: list[str]) -> str:
+    """`name`, or with a number where the names have it already (in any case)."""
+    taken = {n.lower() for n in names}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(len(names) + 1))) if n.lower() not in taken)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of a text in UTF-8, A-Z in lower case. bytes.split and bytes.lower are just that."""
     return text.lower().split() if text else []

@@ -4,7 +4,8 @@ A data file is a run of records, all numbers little-endian:
 
     length u64 | masked checksum of those 8 bytes u32 | payload | masked checksum of the payload u32
 
-The payload is the ids as u32. A checksum is CRC-32 (zlib), masked as rotate-right-15 plus 0xA282EAD8, so that
+The payload is the ids, as u16 where all ids of the vocabulary fit (which halves the files), else as u32; the index says which.
+A checksum is CRC-32 (zlib), masked as rotate-right-15 plus 0xA282EAD8, so that
 checksums of data that holds checksums stay useful. The index is a Parquet table with one row per record: key, data
 file, byte offset of the record, part and place in the order of keys. It names the file that the successful attempt
 of a task wrote; files of failed attempts are never read. Records can be read in any order by their offsets.
@@ -53,6 +54,13 @@ def unframe(read, at: int) -> bytes:
     return body[:n]
 
 
+def id_width(vocab: str, end: int) -> int:
+    """Bytes that an id of the vocabulary takes."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(vocab).get_vocab(with_added_tokens=True).values(), default=0) < 1 << 16 > end else 4
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
 
@@ -60,15 +68,16 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 def write(docs: DataFrame, folder: str, vocab: str, key: str = "doc_id", text: str = "text", end: int = 2) -> DataFrame:
     """Write the records below `folder` in ascending order of `key` and return the stored index.
 
-    Index: key, file, offset (bytes), part, place (ids before it in its part), n_ids. Null texts are empty texts, a
+    Index: key, file, offset (bytes), part, place (ids before it in its part), n_ids, width (bytes of an id). Null texts are empty texts, a
     null key comes first, rows of equal key go by the hash of the text. An empty table gives an empty index.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     # By range, so that parts and the rows in them are in order of the key.
     dealt = rows.repartitionByRange(shuffle_parts(docs.sparkSession), "key", "tie").sortWithinPartitions("key", "tie")
     schema = StructType([StructField("key", rows.schema["key"].dataType)]).add("file", "string")
-    for name in ("offset", "part", "place", "n_ids"):
+    for name in ("offset", "part", "place", "n_ids", "width"):
         schema.add(StructField(name, LongType()))
+    width = id_width(vocab, end)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -80,14 +89,14 @@ def write(docs: DataFrame, folder: str, vocab: str, key: str = "doc_id", text: s
             for batch, ids in encoded(batches, "text", vocab, end):
                 offsets, places, sizes = [], [], []
                 for own in ids:
-                    record = frame(own.tobytes())
+                    record = frame(own.astype(f"<u{width}").tobytes())
                     offsets.append(at), places.append(place), sizes.append(len(own))
                     out.write(record)
                     at, place = at + len(record), place + len(own)
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key"), pa.array([path] * n, pa.string()), *(pa.array(c, pa.int64()) for c in (
-                        offsets, [part] * n, places, sizes))], schema.names)
+                        offsets, [part] * n, places, sizes, [width] * n))], schema.names)
 
     index = f"{folder}/index"
     dealt.mapInArrow(step, schema).write.parquet(index)
@@ -95,7 +104,7 @@ def write(docs: DataFrame, folder: str, vocab: str, key: str = "doc_id", text: s
 
 
 def read(index: DataFrame) -> DataFrame:
-    """The columns of the index and `ids` (the payload, binary), each record read at its offset and checked."""
+    """The columns of the index and `ids` (binary, as u32 whatever the file has), each record read at its offset and checked."""
     schema = StructType([*index.schema.fields]).add("ids", "binary")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,11 +112,12 @@ def read(index: DataFrame) -> DataFrame:
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch, found = whole.slice(lo, 256), []
-                for path, at in zip(batch.column("file").to_pylist(), batch.column("offset").to_pylist()):
+                for path, at, width in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "width"))):
                     if path != name:
                         disk, local = _place(path)
                         name, source = path, disk.open_input_file(local)
-                    found.append(unframe(lambda start, n: source.read_at(n, start), at))
+                    payload = unframe(lambda start, n: source.read_at(n, start), at)
+                    found.append(np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], schema.names)
 
     return index.mapInArrow(step, schema)

@@ -9,7 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tallywake.llm.common import sliced
+from tallywake.llm.common import column_bytes, of_process, sliced
+
+# Words whose ids a process keeps (it starts anew beyond that, which changes no result), and bytes of those it does.
+WORDS, LONGEST = 1 << 20, 64
+# New words are encoded so many at a time, with this between them.
+TOGETHER, BETWEEN = 512, "|"
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -19,16 +24,59 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit integers, put together from those of their words.
+
+    For vocabularies that drop white space and let no token reach across it, so that the ids of a text are those of the words between
+    ASCII white space. A word is encoded when it first comes to the process.
+    """
+
+    def __init__(self, vocab: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocab)
+        self.known: dict[bytes, bytes] = {}
+        mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words. Those with the mark in them go alone, the others many at a time, with the mark between."""
+        alone = [w for w in words if self.mark is None or BETWEEN.encode() in w]
+        found = dict(zip(alone, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(
+            [w.decode() for w in alone], add_special_tokens=False))))
+        rest = [w for w in words if w not in found]
+        lots = [rest[lo:lo + TOGETHER] for lo in range(0, len(rest), TOGETHER)]
+        texts = [f" {BETWEEN} ".join(w.decode() for w in lot) for lot in lots]
+        for lot, e in zip(lots, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark).tolist()
+            whole = ids.tobytes()
+            for word, lo, hi in zip(lot, [0, *(4 * (at + 1) for at in ends)], [*(4 * at for at in ends), len(whole)]):
+                found[word] = whole[lo:hi]
+        return [found[w] for w in words]
+
+    def ids(self, texts: list[bytes | None]) -> list[bytes]:
+        split = [t.split() if t else [] for t in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > WORDS:
+            self.known, new = {}, set().union(*split)
+        words = list(new)
+        own = dict(zip(words, self._words(words)))
+        self.known |= own
+        joined = [b"".join(map(self.known.__getitem__, ws)) for ws in split]
+        for word in own:
+            if len(word) > LONGEST:
+                del self.known[word]
+        return joined
+
+
 def encoded(batches: Iterator[pa.RecordBatch], text: str, vocab: str, end: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Each batch, cut to about a megabyte of text, with the ids of its texts (null: empty), `end` appended to each."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(vocab)
+    encoder = of_process(("encoder", vocab), lambda: Encoder(vocab))
+    last = np.array([end], "<u4").tobytes()
     for batch in sliced(batches, text, 1 << 20):
-        texts = [t or "" for t in batch.column(text).to_pylist()]
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        yield batch, [np.array([*e.ids, end], "<u4") for e in found]
+        yield batch, [np.frombuffer(ids + last, "<u4") for ids in encoder.ids(column_bytes(batch, text))]
 
 
 def crc(ids: np.ndarray) -> int:
