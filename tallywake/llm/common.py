@@ -11,6 +11,7 @@ from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +62,7 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about `most` bytes of the column, one row at least."""
     for batch in batches:
-        sizes = np.asarray(batch.column(column).cast(pa.binary()).fill_null(b"").to_numpy(zero_copy_only=False), object)
-        ends = np.cumsum(np.fromiter(map(len, sizes), np.int64, len(sizes)))
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0

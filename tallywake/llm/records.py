@@ -16,7 +16,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallywake.llm.common import shared_folder, shuffle_parts
-from tallywake.llm.tokens import crc, encoded
+from tallywake.llm.tokens import encoded
 
 MASK = 0xA282EAD8  # fixed value of the masking
 
@@ -103,9 +103,12 @@ def write(docs: DataFrame, folder: str, vocab: str, key: str = "doc_id", text: s
     return docs.sparkSession.read.schema(schema).parquet(index)
 
 
-def read(index: DataFrame) -> DataFrame:
-    """The columns of the index and `ids` (binary, as u32 whatever the file has), each record read at its offset and checked."""
-    schema = StructType([*index.schema.fields]).add("ids", "binary")
+def _read(index: DataFrame, columns: list[tuple[str, str, pa.DataType]], give: Callable[[bytes], tuple]) -> DataFrame:
+    """The columns of the index and what `give` makes of the ids (as u32, whatever the file has) of each record, which is read
+    at its offset and checked."""
+    schema = StructType([*index.schema.fields])
+    for name, kind, _ in columns:
+        schema.add(name, kind)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source = None, None
@@ -117,12 +120,24 @@ def read(index: DataFrame) -> DataFrame:
                         disk, local = _place(path)
                         name, source = path, disk.open_input_file(local)
                     payload = unframe(lambda start, n: source.read_at(n, start), at)
-                    found.append(np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], schema.names)
+                    found.append(give(np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes()))
+                more = [pa.array([f[i] for f in found], kind) for i, (_, _, kind) in enumerate(columns)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], schema.names)
 
     return index.mapInArrow(step, schema)
 
 
+def read(index: DataFrame) -> DataFrame:
+    """The columns of the index and `ids` of every record, binary, as u32."""
+    return _read(index, [("ids", "binary", pa.binary())], lambda ids: (ids,))
+
+
+def checksums(index: DataFrame) -> DataFrame:
+    """The columns of the index, `n_tokens` and `ids_crc32` (CRC-32 of the ids as u32) of every record, from the files."""
+    columns = [("n_tokens", "long", pa.int64()), ("ids_crc32", "long", pa.int64())]
+    return _read(index, columns, lambda ids: (len(ids) // 4, zlib.crc32(ids)))
+
+
 def starts(index: DataFrame) -> DataFrame:
     """The index with `start`: ids of all records before it. Only one row per part, not per record, is ordered."""
     totals = {r["part"]: r["n"] for r in index.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
@@ -135,6 +150,4 @@ def starts(index: DataFrame) -> DataFrame:
 def token_file(docs: DataFrame, vocab: str, end: int = 2) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files read back."""
     index = starts(write(docs, shared_folder(docs.sparkSession, "records"), vocab, end=end))
-    back = read(index)
-    return back.select(F.col("key").alias("doc_id"), "start", F.expr("length(ids) div 4").cast("bigint").alias("n_tokens"),
-                       F.crc32("ids").alias("ids_crc32"))
+    return checksums(index).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
