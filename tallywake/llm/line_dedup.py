@@ -16,6 +16,8 @@ two different lines share is left alone. DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,9 @@ from tallywake.llm.common import SPACE, stored
 
 MIN_WORDS = 50
 MODULUS = 8
-# Lines a run may have; longer repeats of very short lines are left to the content-defined chunks.
+# Lines that are looked at for the words of a run: so many first, and four times as many while they hold too few.
 REACH = 16
+LOOKS = 12
 
 
 def _words(line: Column) -> Column:
@@ -35,8 +38,8 @@ def _numbers(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _shortest(counts: Column, min_words: int) -> Column:
-    """Of the first counts, how many it takes to reach min_words; null if all don't."""
+def _among(counts: Column, min_words: int) -> Column:
+    """Of the counts, how many it takes to reach min_words; null if all don't."""
     state = F.aggregate(
         counts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("words")),
         lambda s, c: F.when(s["words"] >= min_words, s).otherwise(
@@ -44,6 +47,15 @@ def _shortest(counts: Column, min_words: int) -> Column:
     return F.when(state["words"] >= min_words, state["n"])
 
 
+def _shortest(counts: Callable[[int], Column], there: Column, min_words: int, reach: int) -> Column:
+    """How many lines it takes to reach min_words, `counts` giving the words of so many lines; null if all that are `there`
+    don't. The next look, at four times as many lines, is taken where the one before was too short."""
+    looks = [_among(counts(reach), min_words)]
+    for look in range(1, LOOKS):
+        looks.append(F.when(there > reach * 4 ** (look - 1), _among(counts(reach * 4 ** look), min_words)))
+    return F.coalesce(*looks)
+
+
 def chunks(docs: DataFrame, min_words: int = MIN_WORDS, modulus: int = MODULUS, reach: int = REACH) -> DataFrame:
     """(_id, _print, start, hashes) of every chunk of the documents (_id, _print, text): its first line and the
     hashes of its lines. No shuffle."""
@@ -60,9 +72,9 @@ def chunks(docs: DataFrame, min_words: int = MIN_WORDS, modulus: int = MODULUS,
     defined = F.filter(spans, lambda s: F.aggregate(
         F.slice("ws", s["start"] + 1, s["n"]), F.lit(0), lambda a, w: a + w) >= min_words)
     onward = F.transform(_numbers(n), lambda i: F.struct(
-        i.alias("start"), F.when(F.get("ws", i) > 0, _shortest(F.slice("ws", i + 1, reach), min_words)).alias("n")))
-    back = F.transform(_numbers(n), lambda i: F.when(F.get("ws", i) > 0, _shortest(F.reverse(
-        F.slice("ws", F.greatest(i + 2 - reach, F.lit(1)), F.least(i + 1, F.lit(reach)))), min_words)))
+        i.alias("start"), F.when(F.get("ws", i) > 0, _shortest(lambda most: F.slice("ws", i + 1, most), n - i, min_words, reach)).alias("n")))
+    back = F.transform(_numbers(n), lambda i: F.when(F.get("ws", i) > 0, _shortest(lambda most: F.reverse(
+        F.slice("ws", F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most)))), i + 1, min_words, reach)))
     backward = F.transform(back, lambda m, i: F.struct((i + 1 - m).alias("start"), m.alias("n")))
     runs = F.filter(F.concat(onward, backward), lambda s: s["n"].isNotNull())
     found = cut.select("_id", "_print", "hs", F.explode(F.array_distinct(F.concat(defined, runs))).alias("c"))
