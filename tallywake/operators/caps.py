@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tallywake.operators.rank import LIMIT_BEFORE_SHUFFLE, numbered
+
 # Fixed value: text of the warning.
 WARNING = "看广告有瘾，建议送到精神病院"
 
@@ -18,8 +20,7 @@ def cap_outcomes(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_coun
 
     `reset='daily'` starts the count afresh at midnight in `zone`. Later rows of a capped key are dropped
     by each map task before the shuffle (a rank limit), so a key with any number of rows sends
-    max_count + 1 rows a task. Spark does that for limits below
-    spark.sql.optimizer.windowGroupLimitThreshold (1000).
+    max_count + 1 rows a task. For caps too large for that the rows are numbered by range of time.
     """
     parts = list(keys)
     if reset == "daily":
@@ -27,8 +28,11 @@ def cap_outcomes(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_coun
         df, parts = df.withColumn("day", local.cast("date")), [*parts, "day"]
     elif reset != "never":
         raise ValueError(f"reset must be 'never' or 'daily', not {reset!r}")
-    nth = F.row_number().over(Window.partitionBy(*parts).orderBy(ts, seq))
-    ranked = df.withColumn("nth", nth).where(F.col("nth") <= max_count + 1)
+    if max_count + 1 < LIMIT_BEFORE_SHUFFLE:
+        placed = df.withColumn("nth", F.row_number().over(Window.partitionBy(*parts).orderBy(ts, seq)))
+    else:
+        placed = numbered(df, parts, [ts, seq], "nth")
+    ranked = placed.where(F.col("nth") <= max_count + 1)
     return ranked.withColumn("outcome", F.when(F.col("nth") <= max_count, "pass").otherwise("blacklist"))
 
 

@@ -8,20 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tallywake.functions.chunks import CHUNK, chunk_of
 from tallywake.functions.durations import interval, micros
+from tallywake.functions.times import epoch_micros
 
 
 # Above this many windows a row, expanding is the larger part of a sliding count.
 MANY_WINDOWS = 24
+# Panes of a key that one task sums.
+CHUNK_PANES = 4096
 
 
-def tumbling_count(df: DataFrame, ts: str, size: str, keys: Sequence[str] = (), agg: Column | None = None,
-                   out: str = "cnt") -> DataFrame:
-    """Rows per (keys, window); no keys gives one count per window. Any aggregate column can stand in
-    for the count. Runs on batch and stream; partial counts are made before the shuffle."""
+def tumbling_count(df: DataFrame, ts: str, size: str, keys: Sequence[str] = (), **more: Column) -> DataFrame:
+    """Rows per (keys, window) as `cnt`, and any further aggregates by name; no keys gives one count per window. A null key is
+    a key. Runs on batch and stream; partial results are made before the shuffle."""
     w = F.window(ts, size)
-    counted = df.groupBy(*keys, w.alias("w")).agg((F.count(F.lit(1)) if agg is None else agg).alias(out))
-    return counted.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), out)
+    counted = df.groupBy(*keys, w.alias("w")).agg(F.count(F.lit(1)).alias("cnt"), *[c.alias(name) for name, c in more.items()])
+    return counted.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt", *more)
 
 
 def salted_count(df: DataFrame, ts: str, size: str, spread_by: Sequence[str], salts: int = 64) -> DataFrame:
@@ -44,23 +47,33 @@ def distinct_count(df: DataFrame, ts: str, size: str, of: str, approximate: floa
     return df.groupBy(w.alias("w")).agg(counter.alias("cnt")).select(F.col("w.end").alias("window_end"), "cnt")
 
 
-def pane_counts(df: DataFrame, keys: Sequence[str], ts: str, slide: str) -> DataFrame:
-    """Rows per (keys, pane), a pane being one slide long."""
-    return (df.groupBy(*keys, F.window(ts, slide).alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
-            .select(*keys, F.col("w.end").alias("pane_end"), "cnt"))
-
-
-def intervals_from_changes(changes: DataFrame, keys: Sequence[str], at: str = "at", delta: str = "delta") -> DataFrame:
+def intervals_from_changes(changes: DataFrame, keys: Sequence[str], width: int, at: str = "at", delta: str = "delta") -> DataFrame:
     """Add up changes (+n at one time, -n at a later one) into stretches of constant count.
 
-    Gives `from_end` inclusive, `to_end` exclusive and `cnt`; stretches of count 0 are left out.
+    Gives `from_end` inclusive, `to_end` exclusive and `cnt`; stretches of count 0 are left out. A key's changes are cut into
+    chunks of `width` microseconds: a chunk starts from the level that the sums of the chunks before it give, so the long
+    running sum is over one row a chunk, and changes are shuffled and sorted by (key, chunk).
     """
-    by_time = Window.partitionBy(*keys).orderBy(at)
-    running = changes.withColumn("cnt", F.sum(delta).over(by_time))
+    us = epoch_micros(at)
+    chunked = changes.select(*keys, at, F.col(delta).alias("_delta"), chunk_of(us, width).alias(CHUNK), F.lit(False).alias("_carried"))
+    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    sums = chunked.groupBy(*keys, CHUNK).agg(F.sum("_delta").alias("_sum"))
+    levels = sums.withColumn("_delta", F.sum("_sum").over(chunks.rowsBetween(Window.unboundedPreceding, -1))).where("_delta <> 0")
+    # The level carried in is a change just before the chunk, so it needs no join, and null keys no care.
+    start = F.timestamp_micros(F.col(CHUNK) * width - 1).cast(changes.schema[at].dataType)
+    carried = levels.select(*keys, start.alias(at), "_delta", CHUNK, F.lit(True).alias("_carried"))
+    by_time = Window.partitionBy(*keys, CHUNK).orderBy(at)
+    running = chunked.unionByName(carried).withColumn("cnt", F.sum("_delta").over(by_time))
     # Changes at one time share a running sum, so every row but the first of them equals its predecessor.
-    changed = running.withColumn("_before", F.lag("cnt", 1, 0).over(by_time))
-    kept = changed.where(F.col("cnt") != F.col("_before")).withColumn("to_end", F.lead(at).over(by_time))
-    return kept.where("cnt > 0").select(*keys, F.col(at).alias("from_end"), "to_end", "cnt")
+    changed = running.withColumn("_before", F.lag("cnt", 1, 0).over(by_time)).where((F.col("cnt") != F.col("_before")) & ~F.col("_carried"))
+    within = Window.partitionBy(*keys, CHUNK).orderBy(at)
+    stretches = changed.withColumns({"to_end": F.lead(at).over(within), "_first": F.row_number().over(within) == 1})
+    # The last stretch of a chunk goes on to the first change of a later one; of each chunk these two rows meet.
+    borders = stretches.where("_first OR to_end IS NULL").withColumn(
+        "_next", F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
+    open_ = borders.where("to_end IS NULL").drop("to_end").withColumnRenamed("_next", "to_end")
+    whole = stretches.where("to_end IS NOT NULL").unionByName(open_.select(*stretches.columns))
+    return whole.where("cnt > 0").select(*keys, F.col(at).alias("from_end"), "to_end", "cnt")
 
 
 def sliding_intervals(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
@@ -69,8 +82,7 @@ def sliding_intervals(df: DataFrame, keys: Sequence[str], ts: str, size: str, sl
 
     A row enters the windows that end from its pane's end up to `size` later, so panes turn into two
     changes each and a running sum gives the counts. Work and output grow with the panes, not with
-    size / slide. The running sum of a key covers its panes, at most one per slide of the time
-    spanned however many rows the key has.
+    size / slide. A key's panes are summed in chunks of time, so a key over a long time is many tasks' work.
 
     `first_end`, when given, names a window-end column before which a row does not count any more
     (a late row misses the windows closed by then).
@@ -85,7 +97,7 @@ def sliding_intervals(df: DataFrame, keys: Sequence[str], ts: str, size: str, sl
         F.struct(enter.alias("at"), F.col("cnt").alias("delta")),
         F.struct((pane_end + interval(size)).alias("at"), (-F.col("cnt")).alias("delta")),
     )).alias("c")).select(*keys, "c.at", "c.delta")
-    return intervals_from_changes(changes, keys)
+    return intervals_from_changes(changes, keys, CHUNK_PANES * micros(slide))
 
 
 def expand_intervals(intervals: DataFrame, keys: Sequence[str], slide: str) -> DataFrame:

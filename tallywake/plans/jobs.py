@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywake.functions.durations import interval
 from tallywake.functions.filters import is_page, not_equal
 from tallywake.operators.bursts import failure_bursts
 from tallywake.operators.caps import cap_outcomes
@@ -23,6 +24,11 @@ from tallywake.operators.pairs import pair_match
 from tallywake.operators.rank import top_n, top_n_sql
 
 
+# Texts of the warnings of two and of three failed logins in a row.
+PAIR_WARNING = "login fail 2 times in 2s"
+PATTERN_WARNING = "login fail"
+
+
 def hot_items(behavior: DataFrame, n: int = 3, viewed: str = "pv") -> DataFrame:
     """Most viewed items of the last hour, every 5 minutes."""
     views = behavior.where(F.col("behavior") == viewed)
@@ -84,11 +90,19 @@ def ad_clicks(outcomes: DataFrame) -> DataFrame:
     return sliding_count(outcomes.where("outcome = 'pass'"), ["province"], "ts", "1 hour", "5 seconds")
 
 
-def market_counts(behavior: DataFrame, dropped: str = "uninstall", ignore_case: bool = True) -> DataFrame:
+def market_counts(behavior: DataFrame, dropped: str = "uninstall", ignore_case: bool = True, size: str = "1 day",
+                  slide: str = "5 seconds") -> DataFrame:
     """Actions per (channel, behaviour) of the last day, every 5 seconds, as stretches of window ends
-    (see `sliding_intervals`; `expand_intervals` gives one row a window)."""
+    (see `sliding_intervals`; `market_windows` gives one row a window)."""
     kept = behavior.where(not_equal("behavior", dropped, ignore_case))
-    return sliding_intervals(kept, ["channel", "behavior"], "ts", "1 day", "5 seconds")
+    return sliding_intervals(kept, ["channel", "behavior"], "ts", size, slide)
+
+
+def market_windows(behavior: DataFrame, dropped: str = "uninstall", ignore_case: bool = True, size: str = "1 day",
+                   slide: str = "5 seconds") -> DataFrame:
+    """`market_counts` with one row per window: window_start, window_end, channel, behavior, cnt."""
+    counts = sliding_count(behavior.where(not_equal("behavior", dropped, ignore_case)), ["channel", "behavior"], "ts", size, slide)
+    return counts.select((F.col("window_end") - interval(size)).alias("window_start"), "window_end", "channel", "behavior", "cnt")
 
 
 def login_bursts(logins: DataFrame, seq: str = "seq", fail: str = "fail", min_fails: int = 2,
@@ -99,13 +113,13 @@ def login_bursts(logins: DataFrame, seq: str = "seq", fail: str = "fail", min_fa
 def login_pairs(logins: DataFrame, seq: str = "seq", fail: str = "fail", within: str | None = "2 seconds") -> DataFrame:
     """Two failures in a row; `within=None` sets no time bound."""
     failed = F.col("event_type") == fail
-    return consecutive_pattern(logins, "user_id", "ts", seq, [failed, failed], within)
+    return consecutive_pattern(logins, "user_id", "ts", seq, [failed, failed], within).withColumn("msg", F.lit(PAIR_WARNING))
 
 
 def login_pattern(logins: DataFrame, seq: str = "seq", fail: str = "fail", within: str = "3 seconds") -> DataFrame:
     """Three failures in a row."""
     failed = F.col("event_type") == fail
-    return consecutive_pattern(logins, "user_id", "ts", seq, [failed, failed, failed], within)
+    return consecutive_pattern(logins, "user_id", "ts", seq, [failed, failed, failed], within).withColumn("msg", F.lit(PATTERN_WARNING))
 
 
 def order_payments(orders: DataFrame, keys: Sequence[str] = ("order_id",), seq: str = "seq",

@@ -89,11 +89,11 @@ FROM (SELECT user_id, first_ts, last_ts FROM walk WHERE first_ts IS NOT NULL
       SELECT user_id, opened, last_fail FROM walk WHERE rn = total AND n >= {min_fails})"""
 
 
-def _in_a_row(n: int, within: str | None) -> str:
+def _in_a_row(n: int, within: str | None, msg: str) -> str:
     lags = ", ".join(f"lag(event_type, {i}) OVER w AS e{i}, lag(ts, {i}) OVER w AS t{i}" for i in range(1, n))
     fails = " AND ".join(["event_type = 'error'", *[f"e{i} = 'error'" for i in range(1, n)]])
     bound = f" AND ts - t{n - 1} < INTERVAL '{within}'" if within else ""
-    return f"""SELECT user_id, t{n - 1} AS first_ts, ts AS last_ts
+    return f"""SELECT user_id, t{n - 1} AS first_ts, ts AS last_ts, '{msg}' AS msg
 FROM (SELECT user_id, event_type, ts, {lags} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 WHERE {fails}{bound}"""
 
@@ -154,6 +154,7 @@ _RECORD = "user_id || ',' || item_id || ',' || (item_id % 7) || ',' || event_typ
 
 ORACLES: dict[str, str] = {
     "hot_items_topn": _HOT_ITEMS + _top("item_id", 3),
+    "hot_items_all": _HOT_ITEMS + _top("item_id", 2000),
     "hot_items_sql": _HOT_ITEMS + _top("item_id", 5),
     "rank_report_items": _HOT_ITEMS + _report(
         _top("item_id", 3), "'No' || row_num || ':商品ID=' || item_id || '浏览量=' || cnt"),
@@ -176,6 +177,8 @@ FROM events GROUP BY ALL""",
     "daily_unique_users": """SELECT time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
     count(DISTINCT user_id) AS cnt FROM events GROUP BY ALL""",
     "click_cap_total": _CAPPED + " SELECT event_id, user_id, ad_id, ts FROM ranked WHERE nth <= 10",
+    "click_cap_large": """SELECT event_id, event_type AS ad_id, ts, nth, CASE WHEN nth <= 1500 THEN 'pass' ELSE 'blacklist' END AS outcome
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nth FROM events) WHERE nth <= 1501""",
     "click_blacklist": _CAPPED + """
 SELECT user_id, ad_id, ts, '看广告有瘾，建议送到精神病院' AS msg FROM ranked WHERE nth = 11""",
     "click_cap_daily": """WITH days AS (
@@ -196,11 +199,14 @@ level AS (SELECT channel, behavior, happens AS from_end, lead(happens) OVER w AS
                  CAST(sum(delta) OVER w AS BIGINT) AS cnt
           FROM net WINDOW w AS (PARTITION BY channel, behavior ORDER BY happens))
 SELECT * FROM level WHERE cnt > 0""",
+    "market_by_channel_windows": f"WITH {_ITEMS}" + """,
+actions AS (SELECT 'c' || (item_id % 6) AS channel, upper(event_type) AS behavior, ts FROM items WHERE event_type <> 'signup'),""" + _sliding(
+        "actions", "channel, behavior", "1 day", "1 hour") + " SELECT window_end - INTERVAL '1 day' AS window_start, * FROM counts",
     "login_fail_burst": _bursts("events", 2, "24 hours"),
     "login_fail_burst_long": _bursts("(SELECT * FROM events WHERE event_type IN ('error', 'purchase'))", 3, "2 days"),
-    "login_fail_pair": _in_a_row(2, "12 hours"),
-    "login_fail_pair_unbounded": _in_a_row(2, None),
-    "login_fail_pattern": _in_a_row(3, "1 day"),
+    "login_fail_pair": _in_a_row(2, "12 hours", "login fail 2 times in 2s"),
+    "login_fail_pair_unbounded": _in_a_row(2, None, "login fail 2 times in 2s"),
+    "login_fail_pattern": _in_a_row(3, "1 day", "login fail"),
     "order_pay_pattern": """WITH nexts AS (
     SELECT user_id, event_type, ts,
            min(ts) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id

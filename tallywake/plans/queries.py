@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywake.functions.filters import is_page
 from tallywake.functions.times import (epoch_millis, next_midnight, printed, window_start, window_start_epoch)
-from tallywake.operators.caps import blacklist, click_cap
+from tallywake.operators.caps import blacklist, cap_outcomes, click_cap
 from tallywake.operators.counts import distinct_count, tumbling_count
 from tallywake.operators.late import tag_late
 from tallywake.operators.rank import PAGE_LINE, rank_report
@@ -77,6 +77,11 @@ def hot_items_topn(spark, folder):
     return jobs.hot_items(behavior(spark, folder), 3, "view")
 
 
+def hot_items_all(spark, folder):
+    """Ranks of any depth: more than Spark limits before the shuffle."""
+    return jobs.hot_items(behavior(spark, folder), 2000, "view")
+
+
 def hot_items_sql(spark, folder):
     return jobs.hot_items_sql(behavior(spark, folder), 5, "view")
 
@@ -125,10 +130,7 @@ def unique_visitors_hourly(spark, folder):
 
 def behavior_counts_hourly(spark, folder):
     """Count and largest value per (event type, hour): any aggregate column fits the window count."""
-    ev = events(spark, folder)
-    counts = tumbling_count(ev, "ts", "1 hour", ["event_type"])
-    value = tumbling_count(ev, "ts", "1 hour", ["event_type"], F.max("value"), "max_value")
-    return counts.join(value, ["event_type", "window_start", "window_end"])
+    return tumbling_count(events(spark, folder), "ts", "1 hour", ["event_type"], max_value=F.max("value"))
 
 
 def daily_unique_users(spark, folder):
@@ -143,6 +145,12 @@ def click_cap_total(spark, folder):
     return click_cap(click_outcomes(spark, folder)).select("event_id", "user_id", "ad_id", "ts")
 
 
+def click_cap_large(spark, folder):
+    """A cap beyond what Spark limits before the shuffle, per kind of event: outcomes of all rows up to it and the first over it."""
+    rows = clicks(spark, folder)
+    return cap_outcomes(rows, ["ad_id"], "ts", "event_id", 1500).select("event_id", "ad_id", "ts", "nth", "outcome")
+
+
 def click_blacklist(spark, folder):
     return blacklist(click_outcomes(spark, folder), ["user_id", "ad_id"], "ts")
 
@@ -156,11 +164,19 @@ def ad_clicks_sliding(spark, folder):
     return jobs.ad_clicks(click_outcomes(spark, folder))
 
 
-def market_by_channel(spark, folder):
-    actions = item_events(spark, folder).select(
+def _actions(spark, folder):
+    return item_events(spark, folder).select(
         F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")).alias("channel"),
         F.upper("event_type").alias("behavior"), "ts")
-    return jobs.market_counts(actions, "signup")
+
+
+def market_by_channel(spark, folder):
+    return jobs.market_counts(_actions(spark, folder), "signup")
+
+
+def market_by_channel_windows(spark, folder):
+    """One row a window, every hour."""
+    return jobs.market_windows(_actions(spark, folder), "signup", slide="1 hour")
 
 
 def login_fail_burst(spark, folder):
@@ -257,10 +273,10 @@ def window_arith(spark, folder):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        hot_items_topn, hot_items_sql, rank_report_items, hot_pages_topn, rank_report_pages, hot_pages_by_arrival,
+        hot_items_topn, hot_items_all, hot_items_sql, rank_report_items, hot_pages_topn, rank_report_pages, hot_pages_by_arrival,
         hot_pages_late_rows, static_asset_filter, page_views_hourly, page_views_salted, unique_visitors_hourly,
-        behavior_counts_hourly, daily_unique_users, click_cap_total, click_blacklist, click_cap_daily,
-        ad_clicks_sliding, market_by_channel, login_fail_burst, login_fail_burst_long, login_fail_pair,
+        behavior_counts_hourly, daily_unique_users, click_cap_total, click_cap_large, click_blacklist, click_cap_daily,
+        ad_clicks_sliding, market_by_channel, market_by_channel_windows, login_fail_burst, login_fail_burst_long, login_fail_pair,
         login_fail_pair_unbounded, login_fail_pattern, order_pay_pattern, order_lifecycle, pay_receipt_match,
         pay_receipt_match_first, pay_receipt_match_users, pay_receipt_match_pairs, late_rows, log_lines_parse, record_lines,
         record_lines_parse, window_arith,

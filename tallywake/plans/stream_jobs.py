@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallywake.functions.filters import not_equal
 from tallywake.operators.rank import ITEM_LINE, PAGE_LINE, rank_report
-from tallywake.plans.jobs import is_page_request, page_requests
+from tallywake.plans.jobs import PAIR_WARNING, PATTERN_WARNING, is_page_request, page_requests
 from tallywake.schemas import USER_BEHAVIOR
 from tallywake.sources.lines import decode_records
 from tallywake.streaming.counts import (distinct_count_stream, salted_count_stream, sliding_count_stream,
@@ -26,7 +26,7 @@ from tallywake.streaming.late import tag_late_stream
 from tallywake.streaming.match import interval_match_stream
 from tallywake.streaming.pairs import pair_match_stream
 from tallywake.streaming.refiring import refiring_counts, refiring_ranks
-from tallywake.streaming.sinks import EachBatch, ranked, reranked, write_stream
+from tallywake.streaming.sinks import EachBatch, ranked, to_console, write_stream
 
 
 def _when(df: DataFrame, condition: Column, delay: str | None) -> DataFrame:
@@ -101,13 +101,13 @@ def login_bursts(logins: DataFrame, seq: str = "seq", fail: str = "fail", min_fa
 def login_pairs(logins: DataFrame, seq: str = "seq", fail: str = "fail", within: str | None = "2 seconds",
                 delay: str | None = "3 seconds") -> DataFrame:
     failed = F.col("event_type") == fail
-    return consecutive_pattern_stream(logins, "user_id", "ts", seq, [failed] * 2, within, delay)
+    return consecutive_pattern_stream(logins, "user_id", "ts", seq, [failed] * 2, within, delay).withColumn("msg", F.lit(PAIR_WARNING))
 
 
 def login_pattern(logins: DataFrame, seq: str = "seq", fail: str = "fail", within: str = "3 seconds",
                   delay: str | None = "3 seconds") -> DataFrame:
     failed = F.col("event_type") == fail
-    return consecutive_pattern_stream(logins, "user_id", "ts", seq, [failed] * 3, within, delay)
+    return consecutive_pattern_stream(logins, "user_id", "ts", seq, [failed] * 3, within, delay).withColumn("msg", F.lit(PATTERN_WARNING))
 
 
 def order_payments(orders: DataFrame, keys: Sequence[str] = ("order_id",), seq: str = "seq",
@@ -143,25 +143,13 @@ def reported(key: str, n: int, line: str, sink: EachBatch) -> EachBatch:
     return ranked(key, n, lambda ranks, batch_id: sink(rank_report(ranks, key, line), batch_id))
 
 
-def to_console(label: str) -> EachBatch:
-    """Print every row of a micro-batch, one partition at a time."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        print(f"{label}> batch {batch_id}")
-        for row in batch.toLocalIterator():
-            print(*row, sep="\t")
-
-    return each
-
-
 def start_hot_items(lines: DataFrame, n: int = 3, sink: EachBatch | None = None) -> StreamingQuery:
     """From lines of a topic or folder to printed top-n reports."""
     counts = item_counts(decode_records(lines, USER_BEHAVIOR))
     return write_stream(counts, "hot-items", reported("item_id", n, ITEM_LINE, sink or to_console("hot-items")))
 
 
-def start_hot_pages(log: DataFrame, counts_folder: str, n: int = 5, sink: EachBatch | None = None) -> StreamingQuery:
+def start_hot_pages(log: DataFrame, n: int = 5, sink: EachBatch | None = None) -> StreamingQuery:
     """From access-log rows to top-n reports that follow late rows for a minute."""
     sink = sink or to_console("hot-pages")
-    counts = page_counts(log, delay="70 seconds")
-    report = reranked("url", n, counts_folder, lambda ranks, batch_id: sink(rank_report(ranks, "url", PAGE_LINE), batch_id))
-    return write_stream(counts, "hot-pages", report, "update")
+    return write_stream(page_ranks(log, n), "hot-pages", lambda ranks, batch_id: sink(rank_report(ranks, "url", PAGE_LINE), batch_id))

@@ -14,10 +14,21 @@ from tallywake.session import checkpoint_root
 EachBatch = Callable[[DataFrame, int], None]
 
 
-def write_stream(df: DataFrame, name: str, sink: str | EachBatch = "console", mode: str = "append",
+def to_console(label: str) -> EachBatch:
+    """Print every row of a micro-batch, one partition at a time."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        print(f"{label}> batch {batch_id}")
+        for row in batch.toLocalIterator():
+            print(*row, sep="\t")
+
+    return each
+
+
+def write_stream(df: DataFrame, name: str, sink: str | EachBatch | None = None, mode: str = "append",
                  checkpoint: str | None = None, trigger: Mapping | None = None, **options: str) -> StreamingQuery:
-    """Start a query labelled `name`. `sink` is a format (console, memory, parquet, kafka) or a function
-    called with every micro-batch."""
+    """Start a query labelled `name`. `sink` is a format (memory, parquet, kafka) or a function called with every micro-batch;
+    without one all rows are printed."""
+    sink = sink or to_console(name)
     folder = checkpoint or f"{checkpoint_root(df.sparkSession)}/{name}"
     writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", folder).options(**options)
     writer = writer.foreachBatch(sink) if callable(sink) else writer.format(sink)
