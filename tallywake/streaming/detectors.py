@@ -2,48 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessorHandle
 
 from tallywake.functions.durations import micros
 from tallywake.operators.bursts import WARNING
-from tallywake.streaming.in_order import InOrder, in_order
+from tallywake.streaming.in_order import InOrder, in_order, row_maker
 
 
 class Cap(InOrder):
-    memory_schema = "n bigint, day bigint"
-    start = (0, 0)
+    """Counts the rows of a key, or of its day: `ends` is when the day is over and nothing need be remembered."""
+
+    memory_schema = "n bigint, day bigint, ends bigint"
+    start = (0, 0, None)
 
     def __init__(self, held_schema: T.StructType, max_count: int):
         super().__init__(held_schema)
         self.max_count = max_count
 
     def step(self, memory, row):
-        n, day = memory
+        n, day, _ = memory
         if row[2] != day:
             n, day = 0, row[2]
         n += 1
         if n > self.max_count + 1:
-            return (self.max_count + 1, day), []
-        return (n, day), [(*row[3:], "pass" if n <= self.max_count else "blacklist")]
+            return (self.max_count + 1, day, row[3]), []
+        return (n, day, row[3]), [(*row[4:], "pass" if n <= self.max_count else "blacklist")]
+
+    def passed(self, memory, us):
+        return (self.start if memory[2] is not None and us >= memory[2] else memory), []
+
+    def wake(self, memory):
+        return memory[2]
 
 
 def cap_outcomes_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int, delay: str | None = "0 seconds",
                         reset: str = "never", zone: str = "Asia/Shanghai") -> DataFrame:
-    """Batch form: operators.caps.cap_outcomes. `ts` keeps its watermark."""
-    day = F.lit(0)
+    """Batch form: operators.caps.cap_outcomes. `ts` keeps its watermark. With `reset='daily'` a key is forgotten at the end of
+    each of its days."""
+    day, ends = F.lit(0), F.lit(None)
     if reset == "daily":
-        local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(ts).cast("timestamp_ntz"))
-        day = F.unix_date(local.cast("date"))
+        utc = F.col(ts).cast("timestamp_ntz")
+        date = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("date")
+        day = F.unix_date(date)
+        over = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add(date, 1).cast("timestamp_ntz"))
+        ends = F.unix_micros(over.cast("timestamp"))
     elif reset != "never":
         raise ValueError(f"reset must be 'never' or 'daily', not {reset!r}")
     names = [c for c in df.columns if c not in keys and c != ts]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema.fields)
-    return in_order(df, keys, ts, seq, delay, [day.cast("bigint").alias("_day"), *map(F.col, names)], Cap, max_count,
-                    results=f"{fields}, `{ts}` timestamp, outcome string", event_time=ts)
+    seen = [day.cast("bigint").alias("_day"), ends.cast("bigint").alias("_ends"), *map(F.col, names)]
+    return in_order(df, keys, ts, seq, delay, seen, Cap, max_count, results=f"{fields}, `{ts}` timestamp, outcome string", event_time=ts)
 
 
 class Bursts(InOrder):
@@ -96,6 +109,13 @@ class Consecutive(InOrder):
             return (times, marks), [(times[0], times[-1])]
         return (times, marks), []
 
+    def passed(self, memory, us):
+        # Rows that no later one can be near enough to.
+        return (self.start if self.span is not None and memory[0] and us >= memory[0][-1] + self.span else memory), []
+
+    def wake(self, memory):
+        return memory[0][-1] + self.span if self.span is not None and memory[0] else None
+
 
 def consecutive_pattern_stream(df: DataFrame, key: str, ts: str, seq: str, conditions: Sequence[Column],
                                within: str | None = None, delay: str | None = "3 seconds") -> DataFrame:
@@ -149,7 +169,8 @@ def followed_by_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str, st
 
 
 class Lifecycle(InOrder):
-    """Remembers the first create and pay, and the outcome last given ('' before any)."""
+    """Remembers the first create and pay, and the outcome last given ('' before any). The earliest of each is all that counts,
+    so no row is held: a time ahead of the watermark is remembered and not yet looked at."""
 
     memory_schema = "created bigint, paid bigint, given string"
     start = (None, None, "")
@@ -158,22 +179,43 @@ class Lifecycle(InOrder):
         super().__init__(held_schema)
         self.limit, self.grace, self.remember = limit, grace, remember
 
-    def step(self, memory, row):
-        created, paid, given = memory
-        if row[2] and created is None:
-            created = row[0]
-        if row[3] and paid is None:
-            paid = row[0]
-        return (created, paid, given), []
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", self.memory_schema)
+
+    def _advance(self, key: tuple, new: list[tuple], watermark_ms: int) -> Iterator[Row]:
+        now, stored = watermark_ms * 1000, self.memory.get()
+        created, paid, given = tuple(stored) if stored else self.start
+        for row in new:
+            if row[2] and (created is None or row[0] < created):
+                created = row[0]
+            if row[3] and (paid is None or row[0] < paid):
+                paid = row[0]
+        # What the watermark has passed, and what is still ahead.
+        seen = [t if t is not None and t <= now else None for t in (created, paid)]
+        memory, results = self.passed((*seen, given), now)
+        named = row_maker(self.names)
+        for result in results:
+            yield named((*key, *result))
+        over = seen != [None, None] and memory == self.start
+        ahead = [t if t is not None and t > now else None for t in (created, paid)]
+        kept = (*ahead, "") if over else (created, paid, memory[2])
+        if kept == self.start:
+            if stored is not None:
+                self.memory.clear()
+            return
+        if stored is None or kept != tuple(stored):
+            self.memory.update(kept)
+        times = [t for t in (*ahead, None if over else self.wake(memory)) if t is not None]
+        self.handle.registerTimer(max(-(-min(times) // 1000), watermark_ms + 1))
 
     def passed(self, memory, us):
         created, paid, given = memory
         if created is None and paid is None:
             return memory, []
         outcome = self._outcome(created, paid, us)
-        over = us >= self._end(memory)
         results = [(created, paid, outcome)] if outcome and outcome != given else []
-        return (self.start if over else (created, paid, outcome or given)), results
+        return (self.start if us >= self._end(memory) else (created, paid, outcome or given)), results
 
     def wake(self, memory):
         created, paid, given = memory
