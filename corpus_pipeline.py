@@ -1,10 +1,15 @@
-"""A training corpus from raw documents: judged, without repeated passages and near copies, clean of benchmarks, packed."""
+"""A training corpus from raw documents: judged, without repeated passages and near copies, clean of benchmarks, packed.
+
+Each stage takes and, but for the last, gives the columns of documents. Null and empty texts have no quality and go in the first
+stage; repeated rows are near copies, of which one stays; ties go by the smaller doc_id; an empty table gives an empty corpus.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywake.llm import decontaminate, kneser_ney, line_dedup, packing, simhash
 from tallywake.llm.common import stored
@@ -19,8 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of lines that come earlier; n_chars stays that of the raw text."""
-    return line_dedup.dedup(docs)
+    """Documents without passages of lines that come earlier, n_chars being that of the text that is left."""
+    return line_dedup.dedup(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +39,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences."""
-    return packing.pack(docs, vocabulary())
+    """Token pieces with their ids and their places in sequences."""
+    return packing.pack(docs, vocabulary(), keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -15,12 +15,8 @@ from tallywake.plans.tables import table
 
 
 def op1_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", F.coalesce(split_of("doc_id", 7) == 2, F.lit(False)))
-    model = pitman_yor.train(docs.where("NOT held_out"))
-    scores = pitman_yor.score(docs, model)
-    rows = docs.select("doc_id", "held_out", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
-    return rows.join(scores, "print").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    found = pitman_yor.score(table(spark, folder, "documents"), split_of("doc_id", 7).eqNullSafe(2) == F.lit(False))
+    return found.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:

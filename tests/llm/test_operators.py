@@ -1,8 +1,11 @@
 """The operators against plain-Python readings of their rules, on small tables with nulls, ties and repeats."""
 
 import math
+import random
 import re
+import string
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -28,51 +31,125 @@ def words(text):
     return (text or "").encode().lower().split()
 
 
-def test_pitman_yor_base_and_total(spark, docs):
-    model = pitman_yor.train(docs.where("doc_id <> 5"), burn=1, samples=2)
-    found = {r["print"]: r for r in pitman_yor.score(docs, model).collect()}
+def test_pitman_yor_base_and_counts(spark, docs):
+    found = {r["doc_id"]: r for r in pitman_yor.score(docs, F.col("doc_id") != 5, burn=1, samples=2).collect()}
     counts = Counter(w for i, t in enumerate(TEXTS) if i != 5 for w in [*words(t), b"\n"])
     n, v = sum(counts.values()), len(counts)
-    assert (model.n_tokens, model.n_words) == (n, v)
-    prints = {r["doc_id"]: r["p"] for r in docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("p")).collect()}
     for i, text in enumerate(TEXTS):
-        own, row = [*words(text), b"\n"], found[prints[i]]
-        assert (row["n_tokens"], row["n_known"]) == (len(own), sum(counts[w] > 0 for w in own))
+        own, row = [*words(text), b"\n"], found[i]
+        assert (row["learnt"], row["n_tokens"], row["n_known"], row["train_tokens"]) == (i != 5, len(own), sum(counts[w] > 0 for w in own), n)
         assert row["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own))
-        assert row["score"] < 0
-    # Every word after "the", and an unknown one, add up to at most one.
-    p = model.words.agg(F.sum(F.get("ps", F.lit(0)))).first()[0] + model.unknown[0]
-    assert p == pytest.approx(1.0)
-
-
-def test_pitman_yor_empty(spark, docs):
-    model = pitman_yor.train(docs.limit(0), burn=0, samples=1)
-    assert pitman_yor.score(docs.limit(0), model).count() == 0
-    assert pitman_yor.score(docs, model).where("score > 1e-9 OR n_known > 0").count() == 0
-
-
-def test_seats_are_few_for_likely_old_dishes():
-    rng = np.random.default_rng(0)
-    n = np.array([0, 1, 2, 50, 100_000])
-    tables = pitman_yor.seat(n, np.full(5, 1e-6), np.zeros(5, np.int64), 0.5, rng)
-    assert list(tables[:2]) == [0, 1] and (tables <= n).all() and tables[3] < 5
-
-
-def test_kneser_ney(spark):
-    good = [(i, " ".join(("the cat sat on a mat" if (i + k) % 3 else "a dog lay by the door") for k in range(5 + i % 4)), "en") for i in range(60)]
-    rows = [*good, (100, "zq%% xv&& kk## zq%% " * 9, "en"), (101, None, "en"), (102, "", None), (103, "autre", "fr")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    found = {r["doc_id"]: r for r in kneser_ney.judge(docs, docs.where("doc_id < 60"), quantile=1.0).collect()}
-    assert len(found) == len(rows)
-    assert not found[100]["kept"] and not found[101]["kept"] and not found[102]["kept"] and found[103]["kept"]
-    assert sum(found[i]["kept"] for i in range(60)) >= 55
-    assert kneser_ney.judge(docs.limit(0), docs).count() == 0
+        assert row["score"] < 0 and row["perplexity"] == pytest.approx(10 ** (-row["score"] / len(own)))
+    assert sum(r["score"] for r in found.values()) > sum(r["base_score"] for r in found.values())
+
+
+def test_pitman_yor_of_odd_tables(spark, docs):
+    extra = docs.withColumn("unit", F.lit(1)).withColumn("word", F.lit("x")).unionByName(
+        docs.withColumn("unit", F.lit(1)).withColumn("word", F.lit("x")).where("doc_id IN (3, 6)")).withColumn("doc_id", F.when(F.col("doc_id") != 1, F.col("doc_id")))
+    assert pitman_yor.score(extra, F.lit(None).cast("boolean"), burn=0, samples=1).where("n_known = 0 AND train_tokens = 0").count() == len(TEXTS) + 2
+    assert pitman_yor.score(extra, F.lit(True), burn=0, samples=1).count() == len(TEXTS) + 2
+    assert pitman_yor.score(docs.limit(0), F.lit(True), burn=0, samples=1).count() == 0
+
+
+def some_seats(seed=0):
+    """Words 0 to 4 in a few contexts, and totals that are those of the seats themselves."""
+    rng = np.random.default_rng(seed)
+    pairs = sorted({(int(w), int(c)) for w, c in zip(rng.integers(0, 5, 40), rng.integers(0, 300, 40))})
+    word, context = (np.array(c, np.int64) for c in zip(*pairs))
+    return pitman_yor.Seats(word, context, rng.integers(1, 9, len(word)), 5, (0.7, 0.5, 0.4))
+
+
+def test_predictive_probabilities_add_up_to_one():
+    seats, rng, even = some_seats(), np.random.default_rng(1), 1 / 6
+    for _ in range(5):
+        totals = pitman_yor.Totals.of(seats.sums())
+        for context in (*seats.context[:6].tolist(), 4000):
+            words_, at = np.arange(5), np.full(5, context)
+            new = pitman_yor.Seats(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 1, seats.discounts)
+            rest = new.predictive(np.zeros(1, np.int64), at[:1], totals, even)[0]
+            assert seats.predictive(words_, at, totals, even).sum() + rest == pytest.approx(1.0)
+        seats.sweep(totals, even, rng)
+        # Tables have customers, customers below are the parents' customers.
+        assert (seats.t2 >= 1).all() and (seats.t2 <= seats.n2).all() and (seats.t1 >= 1).all() and (seats.t1 <= seats.n1).all()
+        assert (np.bincount(seats.parent, seats.t2) == seats.n1).all() and (np.bincount(seats.word1, seats.t1, 5) == seats.n0).all()
+        assert (seats.t0 <= seats.n0).all()
+
+
+def test_sampler_agrees_with_all_seatings_by_hand():
+    """One word, one context, four customers: the share of each number of tables against the sum over all seatings."""
+    n, discount, tables_else, even = 4, 0.5, 3.0, 0.2
+    zero, one = np.zeros(pitman_yor.CONTEXTS), np.zeros(pitman_yor.LETTERS)
+    totals = pitman_yor.Totals((zero, one, 0.0), (zero + tables_else, one, 0.0))
+    seats = pitman_yor.Seats(np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([n]), 1, (discount, 1e-9, 1e-9))
+
+    def partitions(k):
+        if not k:
+            yield []
+            return
+        for p in partitions(k - 1):
+            yield [*p, 1]
+            for i in range(len(p)):
+                yield [*p[:i], p[i] + 1, *p[i + 1:]]
+
+    def first_kind(k, t):
+        """Ways to seat k customers at t tables in circles."""
+        if k == 0 or t == 0:
+            return int(k == t)
+        return first_kind(k - 1, t - 1) + (k - 1) * first_kind(k - 1, t)
+
+    def parents(k):
+        """All seatings of k customers of the parent, whose own customers of the root are m + even each, with no discounts."""
+        return sum(first_kind(k, t) * math.prod(m + even for m in range(t)) for t in range(k + 1))
+
+    weight = Counter()
+    for p in partitions(n):
+        inside = math.prod(math.prod(j - discount for j in range(1, size)) for size in p)
+        weight[len(p)] += inside * (pitman_yor.STRENGTH + discount * tables_else) ** len(p) * parents(len(p))
+    rng, met = np.random.default_rng(5), Counter()
+    for _ in range(20_000):
+        seats.sweep(totals, even, rng)
+        met[int(seats.t2[0])] += 1
+    total = sum(weight.values())
+    for t in range(1, n + 1):
+        assert met[t] / 20_000 == pytest.approx(weight[t] / total, abs=0.02)
+
+
+def test_symbol_model_sums_to_one_and_meets_its_rule(spark):
+    """Each context's probabilities add up to one; the model is the one a plain reading of the rule gives."""
+    texts = ["The cat sat on the mat. The cat!", "a dog, a cat, a mat", None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = kneser_ney.train(docs)
+    rows = np.exp(model.logs.reshape(-1, kneser_ney.SYMBOLS).astype(float))
+    assert np.allclose(rows.sum(axis=1), 1.0, atol=1e-4) and model.n_symbols == sum(len(t or "") for t in texts)
+    classes = kneser_ney._classes()
+    seen = [Counter() for _ in range(kneser_ney.ORDER + 1)]
+    for t in texts:
+        own = [kneser_ney.SPACE_SYMBOL] * 3 + [int(classes[b]) for b in (t or "").encode()]
+        seen[4].update(tuple(own[i:i + 4]) for i in range(len(own) - 3))
+    for order in (3, 2, 1):
+        seen[order] = Counter(g[1:] for g in seen[order + 1])
+
+    def p(gram):
+        if not gram:
+            return 1 / kneser_ney.SYMBOLS
+        counts = seen[len(gram)]
+        cut = kneser_ney.discounts(Counter(counts.values()))
+        own = {g: n for g, n in counts.items() if g[:-1] == gram[:-1]}
+        if not own:
+            return p(gram[1:])
+        total, off = sum(own.values()), lambda n: cut[min(n, 3)]
+        freed = sum(off(n) for n in own.values()) / total
+        return (own.get(gram, 0) - off(own.get(gram, 0))) / total + freed * p(gram[1:])
+
+    for gram in [*list(seen[4])[:20], (3, 1, 20, 9), (1, 1, 1, 1), (28, 28, 28, 20)]:
+        at = sum(s * 64 ** (3 - i) for i, s in enumerate(gram))
+        assert math.exp(model.logs[at]) == pytest.approx(p(gram), rel=1e-4)
 
 
 def test_language(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden with the tree", "en"), ("das Haus und der Garten mit dem Baum", "de")] * 5)]
     known = language.prototypes(spark.createDataFrame([*rows, (None, None, None)], "doc_id bigint, text string, lang string"))
-    asked = spark.createDataFrame([("the tree and the house",), ("der Baum und das Haus",), (None,), ("12 !?",), ("",)], "text string")
+    asked = spark.createDataFrame([("the tree and the house",), ("der Baum und das Haus",), (None,), ("12 !? \u00bd\u00b2\u2167",), ("",)], "text string")
     found = language.predict(asked, known).collect()
     assert [r["lang_pred"] for r in found] == ["en", "de", "und", "und", "und"]
     assert all(0 <= r["score"] <= 1 for r in found)
@@ -139,8 +216,37 @@ def test_secrets(spark, docs):
     assert found[101] == [] and [s[0] for s in found[102]] == ["novel"]
 
 
+def test_novel_spans_are_planted_secrets():
+    """Of 600 planted strings nine in ten are found, and no clean line is reported."""
+    rng = random.Random(1)
+
+    def drawn(n, letters):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    plain = string.ascii_letters + string.digits
+    planted = [f"client_auth('{drawn(24, plain)}')" for _ in range(200)] + [f"Authorization: Bearer {drawn(32, plain)}" for _ in range(200)]
+    planted += [f'private-key "{drawn(20, string.ascii_lowercase + string.digits)}"' for _ in range(200)]
+    clean = ["the token was expired yesterday by default2 settings", "authorization_token_key1 = request.session.authorization_token",
+             "see key_features_section_2_1_1_1", "keyboard layout qwertyuiop12345678", "auth via https://example.com/login/session/user1",
+             "monkey business 2024-01-01T00:00:00 2024-01-02T00:00:00"]
+    known = b"request session authorization access user_name settings token_key"
+    assert sum(bool(secrets.novel(t, 0.7, secrets.base(t), known)) for t in planted) >= 540
+    assert not any(secrets.novel(t, 0.7, secrets.base(t), known) for t in clean)
+
+
+def test_identifiers_are_learnt_and_scans_are_linear(spark):
+    code = "x = fetch_rows(client, limit);\nfetch_rows(client);\nprose without any sign of it"
+    docs = spark.createDataFrame([(code, 1), (code, 2), (None, 3), ("", 4)], "text string, _text int")
+    assert secrets.identifiers(docs).split()[-2:] == [b"fetch_rows", b"client"]
+    assert b"prose" not in secrets.identifiers(docs) and secrets.identifiers(docs.limit(0)) == b""
+    assert secrets.scan(docs).columns == ["text", "_text", "secrets"]
+    start = time.perf_counter()
+    secrets.novel("key " * 200_000, 0.7, [], b"")
+    assert time.perf_counter() - start < 10
+
+
 def test_packing(spark, docs):
-    found = packing.pack(docs, vocabulary(), rounds=5).toPandas().sort_values(["sequence_id", "offset"])
+    found = packing.pack(docs, vocabulary()).toPandas().sort_values(["sequence_id", "offset"])
     assert (found.groupby("sequence_id").length.cumsum() - found.length == found.offset).all()
     assert found.groupby("sequence_id").length.sum().max() <= 4096
     assert len(found[found.doc_id == 6]) == -(-found[found.doc_id == 6].length.sum() // 4096)
@@ -151,7 +257,7 @@ def test_packing(spark, docs):
 def test_plan_holds_the_histogram():
     rng = np.random.default_rng(3)
     histogram = Counter(rng.integers(1, 101, 3000).tolist())
-    planned = packing.plan(dict(histogram), 100, 60)
+    planned = packing.plan(dict(histogram), 100)
     held = Counter()
     for config, times in planned:
         assert sum(l * n for l, n in config) <= 100
@@ -159,4 +265,30 @@ def test_plan_holds_the_histogram():
             held[length] += n * times
     assert held == histogram
     least = math.ceil(sum(l * n for l, n in histogram.items()) / 100)
-    assert sum(t for _, t in planned) <= least * 1.02 + 1
+    sequences = sum(t for _, t in planned)
+    alone = sum(t for _, t in packing.topped_up(dict(histogram), Counter(), 100))
+    assert least <= sequences <= alone
+    # Most sequences come from the program.
+    assert max(sum(packing.program(dict(histogram), 100, fill).values()) for fill in packing.FILLS) > sequences / 2
+
+
+def test_program_covers_near_its_bound():
+    sizes, demand = np.array([20, 35, 48, 51]), np.array([300.0, 200.0, 500.0, 100.0])
+    solution, bound = packing.solve(sizes, demand, 100)
+    covered = sum(np.array(c) * n for c, n in solution.items())
+    assert (covered >= demand - 1e-6).all() and all((np.array(c) * sizes).sum() <= 100 for c in solution)
+    assert bound <= sum(solution.values()) <= 1.05 * bound
+
+
+def test_pieces_hold_the_ids(spark, docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    found = packing.pack(docs.unionByName(docs.where("doc_id = 3")), vocabulary(), capacity=64, keep_ids=True).toPandas()
+    for i, text in enumerate(TEXTS):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        cut = [ids[at:at + 64] for at in range(0, len(ids), 64)]
+        own = found[found.doc_id == i].sort_values(["piece"])
+        copies = 2 if i == 3 else 1
+        want = sorted([(k, 64 * k, len(c), zlib.crc32(struct.pack(f"<{len(c)}I", *c)), struct.pack(f"<{len(c)}I", *c)) for k, c in enumerate(cut)] * copies)
+        assert sorted(zip(own.piece, own.start, own.length, own.ids_crc32, map(bytes, own.ids))) == want
