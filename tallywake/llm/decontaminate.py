@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallywake.llm.common import column_bytes
+from tallywake.llm.common import column_bytes, unused
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 # Bytes of item text that one automaton takes. More items are dealt to several, each applied to all documents.
@@ -67,9 +67,10 @@ def spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
          width: int = 10) -> DataFrame:
-    """The columns of `docs` and `leak`: n_words, hit_words (their numbers), items (sorted strings), spans.
+    """The columns of `docs` and `leak` (a column of this name is replaced): n_words, hit_words (their numbers), items (sorted
+    strings), spans.
 
-    No shuffle. Null texts have no words. An item with a null id counts as the item ''. Rows with equal item ids are
+    No shuffle. Null and empty texts have no words, repeated rows are alike, empty tables give no rows or no hits. An item with a null id counts as the item ''. Rows with equal item ids are
     one item. Items beyond AUTOMATON_BYTES go to further automata, so no limit is set on the benchmark.
     """
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
@@ -77,21 +78,22 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
     parts = size // AUTOMATON_BYTES + 1
     leak = "struct<n_words:bigint,hit_words:array<int>,items:array<string>,spans:array<struct<start:bigint,end:bigint>>>"
     names = [c for c in docs.columns if c != "leak"]
-    found = docs.select(*names, F.lit(None).cast(leak).alias("leak"), F.col(text).alias("_text"))
+    body = unused("_text", names)
+    found = docs.select(*names, F.lit(None).cast(leak).alias("leak"), F.col(text).alias(body))
     schema = StructType(found.schema.fields)
     for part in range(parts):
         own = named.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part) if parts > 1 else named
         rows = [(r["item"], r["text"].encode() if r["text"] is not None else None) for r in own.toLocalIterator()]
-        found = found.mapInArrow(_step(docs.sparkSession.sparkContext.broadcast(rows), width, schema), schema)
-    return found.drop("_text")
+        found = found.mapInArrow(_step(docs.sparkSession.sparkContext.broadcast(rows), width, body), schema)
+    return found.drop(body)
 
 
-def _step(items, width: int, schema: StructType):
+def _step(items, width: int, body: str):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = automaton(items.value, width)
         for batch in batches:
             rows = []
-            for text, before in zip(column_bytes(batch, "_text"), batch.column("leak").to_pylist()):
+            for text, before in zip(column_bytes(batch, body), batch.column("leak").to_pylist()):
                 n, hit, names = scan(built, text)
                 if before:
                     hit[before["hit_words"]] = True

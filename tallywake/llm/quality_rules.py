@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywake.llm.common import SPACE
+from tallywake.llm.common import SPACE, unused
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -45,8 +45,9 @@ def _without(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, ""))
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of `docs` and a struct `_q` of counts and ratios of the text (null: no words).
+def measured(docs: DataFrame, text: str = "text", measures: str = "_q") -> DataFrame:
+    """The columns of `docs` and a struct `measures` of counts and ratios of the text (null: no words). Repeated rows are
+    alike, an empty table gives an empty one.
 
     Words are runs of other than ASCII white space, lines what \\n splits. n_repeat_words are the words in windows
     of three words found twice or more in the text. A ratio over no words or lines is null.
@@ -89,7 +90,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "stop_words_per_word": ratio("n_stop_words", "n_words"), "dup_lines_per_line": ratio("n_dup_lines", "n_lines"),
         "capital_words_per_word": ratio("n_capital_words", "n_words"), "list_marks_per_word": ratio("n_list_marks", "n_words"),
     }
-    return counts.select("_row.*", F.struct("_q.*", *[v.alias(k) for k, v in ratios.items()]).alias("_q"))
+    return counts.select("_row.*", F.struct("_q.*", *[v.alias(k) for k, v in ratios.items()]).alias(measures))
 
 
 def broken(rules: tuple[Rule, ...], measures: str = "_q") -> Column:
@@ -105,10 +106,11 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = THRESHO
           most_repeated_percent: int = 50) -> DataFrame:
     """The columns of `docs`, `quality` (a struct of the measures), `broken` (measures out of bounds), `base_failed`
     (too short, or too much of it in repeated windows) and `kept`. Columns of these names are replaced."""
-    found = measured(docs, text)
-    short = F.col("_q.n_words") < min_words
-    repeats = 100 * F.col("_q.n_repeat_words") > most_repeated_percent * F.col("_q.n_words")
+    q = unused("_q", docs.columns)
+    found = measured(docs, text, q)
+    short = F.col(f"{q}.n_words") < min_words
+    repeats = 100 * F.col(f"{q}.n_repeat_words") > most_repeated_percent * F.col(f"{q}.n_words")
     own = ("quality", "broken", "base_failed", "kept")
     return found.select(
-        *[F.col(c) for c in docs.columns if c not in own], F.col("_q").alias("quality"), broken(rules).alias("broken"),
-        (short | repeats).alias("base_failed"), (~(short | repeats) & (F.size(broken(rules)) == 0)).alias("kept"))
+        *[F.col(c) for c in docs.columns if c not in own], F.col(q).alias("quality"), broken(rules, q).alias("broken"),
+        (short | repeats).alias("base_failed"), (~(short | repeats) & (F.size(broken(rules, q)) == 0)).alias("kept"))

@@ -292,3 +292,21 @@ def test_pieces_hold_the_ids(spark, docs):
         copies = 2 if i == 3 else 1
         want = sorted([(k, 64 * k, len(c), zlib.crc32(struct.pack(f"<{len(c)}I", *c)), struct.pack(f"<{len(c)}I", *c)) for k, c in enumerate(cut)] * copies)
         assert sorted(zip(own.piece, own.start, own.length, own.ids_crc32, map(bytes, own.ids))) == want
+
+
+def test_columns_of_any_name_are_kept(spark, docs):
+    """Names that the operators use inside, and rows that repeat."""
+    clash = docs.select("doc_id", "text", "lang", *[F.lit(i).alias(c) for i, c in enumerate(("_text", "_q", "_row", "_t", "_lang", "_log", "_n", "word", "n_symbols"))])
+    clash = clash.unionByName(clash.where("doc_id IN (3, 8)"))
+    items = spark.createDataFrame([(1, "the cat sat")], "item_id bigint, text string")
+    for found, more in [
+        (decontaminate.find(clash, items), {"leak"}), (quality_rules.judge(clash), {"quality", "broken", "base_failed", "kept"}),
+        (language.predict(clash, language.prototypes(clash)), {"lang_pred", "score"}), (secrets.scan(clash), {"secrets"}),
+        (kneser_ney.judge(clash, clash.where("doc_id = 3")), {"log_perplexity", "most", "kept"}),
+    ]:
+        assert set(found.columns) == set(clash.columns) | more
+        rows = found.collect()
+        assert len(rows) == len(TEXTS) + 2 and all(r["_text"] == 0 and r["_q"] == 1 and r["n_symbols"] == 8 for r in rows)
+        twice = [[str(r[c]) for c in sorted(more)] for r in rows if r["doc_id"] == 3]
+        assert len(twice) == 2 and twice[0] == twice[1]
+    assert records.token_file(clash, vocabulary()).count() == len(TEXTS) + 2
