@@ -242,6 +242,16 @@ FROM marked""",
 SELECT event_id, user_id, item_id, CAST(item_id % 7 AS INTEGER) AS category_id, event_type AS behavior,
        CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, date_trunc('second', ts) AS ts
 FROM items""",
+    **{f"record_lines_{name}": f"WITH {_ITEMS}" + f"""
+SELECT event_id, {columns}, {'epoch_us(ts) // 1000' if name == 'market' else 'CAST(floor(epoch(ts)) AS BIGINT)'} AS timestamp,
+       date_trunc('{'millisecond' if name == 'market' else 'second'}', ts) AS ts
+FROM items WHERE {where}""" for name, columns, where in (
+        ("ad_clicks", "user_id, item_id AS ad_id, event_type AS province, 'c' || (user_id % 3) AS city", "true"),
+        ("logins", "user_id, '10.0.0.' || (user_id % 256) AS ip, CASE event_type WHEN 'error' THEN 'fail' ELSE 'success' END AS event_type", "true"),
+        ("orders", "user_id AS order_id, CASE event_type WHEN 'purchase' THEN 'pay' ELSE 'create' END AS event_type, "
+                   "CASE event_type WHEN 'purchase' THEN 't' || item_id END AS tx_id", "event_type IN ('signup', 'purchase')"),
+        ("receipts", "'t' || item_id AS tx_id, CASE user_id % 2 WHEN 0 THEN 'wechat' ELSE 'alipay' END AS pay_channel", "event_type = 'click'"),
+        ("market", "CAST(user_id AS VARCHAR) AS user_id, upper(event_type) AS behavior, 'c' || (item_id % 6) AS channel", "true"))},
     "window_arith": """SELECT event_id,
     time_bucket(INTERVAL '1 hour', ts - INTERVAL '15 minutes') + INTERVAL '15 minutes' AS hour_start,
     epoch_us(ts) // 1000 - epoch_us(ts) // 1000 % 5000 AS five_second_start_ms,
@@ -267,6 +277,9 @@ ORACLES |= {
     "stream_page_views_salted": ORACLES["page_views_hourly"],
     "stream_unique_visitors_hourly": ORACLES["unique_visitors_hourly"],
     "stream_click_outcomes": _CAPPED + _OUTCOMES.format(10),
+    "stream_click_sides": f"""SELECT event_id, ts, CASE WHEN ad_id <> 'signup' THEN outcome END AS outcome,
+    CASE WHEN ad_id = 'signup' THEN 'others' WHEN outcome = 'pass' THEN 'clicks' ELSE 'warnings' END AS side
+FROM ({_CAPPED + _OUTCOMES.format(10)})""",
     "stream_click_cap_daily": _only(ORACLES["click_cap_daily"], "event_id", "user_id", "ad_id", "ts", "outcome"),
     "stream_ad_clicks_sliding": _CAPPED + """,
 panes AS (SELECT province, time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS pane_end

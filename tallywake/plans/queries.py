@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywake.functions.filters import is_page
@@ -20,7 +20,7 @@ from tallywake.operators.late import tag_late
 from tallywake.operators.rank import PAGE_LINE, rank_report
 from tallywake.plans import jobs
 from tallywake.plans.tables import events, item_events, table
-from tallywake.schemas import USER_BEHAVIOR
+from tallywake.schemas import AD_CLICK, LOGIN, MARKET, ORDER, RECEIPT, USER_BEHAVIOR
 from tallywake.sources.lines import decode_access_log, decode_records, encode_records
 
 NTZ = "timestamp_ntz"
@@ -262,6 +262,42 @@ def record_lines_parse(spark, folder):
     return plain(decode_records(record_lines(spark, folder), USER_BEHAVIOR, keep=("event_id",)))
 
 
+def _through_lines(spark, folder, layout: str, unit: str = "s", where: str = "true", **columns: Column) -> DataFrame:
+    """Events written as comma-separated lines of a layout and read back."""
+    ts = F.col("ts").cast("timestamp")
+    rows = item_events(spark, folder).where(where).select(
+        "event_id", *[c.alias(n) for n, c in columns.items()], (F.unix_millis(ts) if unit == "ms" else F.unix_seconds(ts)).alias("timestamp"))
+    return plain(decode_records(encode_records(rows, [*columns, "timestamp"], keep=("event_id",)), layout, keep=("event_id",)))
+
+
+def record_lines_ad_clicks(spark, folder):
+    return _through_lines(spark, folder, AD_CLICK, user_id=F.col("user_id"), ad_id=F.col("item_id"), province=F.col("event_type"),
+                          city=F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")))
+
+
+def record_lines_logins(spark, folder):
+    return _through_lines(spark, folder, LOGIN, user_id=F.col("user_id"), ip=F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")),
+                          event_type=F.when(F.col("event_type") == "error", "fail").otherwise("success"))
+
+
+def record_lines_orders(spark, folder):
+    """A created order has no transaction yet: an empty field, read as null."""
+    pay = F.col("event_type") == "purchase"
+    return _through_lines(spark, folder, ORDER, where="event_type IN ('signup', 'purchase')", order_id=F.col("user_id"),
+                          event_type=F.when(pay, "pay").otherwise("create"), tx_id=F.when(pay, F.concat(F.lit("t"), F.col("item_id").cast("string"))))
+
+
+def record_lines_receipts(spark, folder):
+    return _through_lines(spark, folder, RECEIPT, where="event_type = 'click'", tx_id=F.concat(F.lit("t"), F.col("item_id").cast("string")),
+                          pay_channel=F.when(F.col("user_id") % 2 == 0, "wechat").otherwise("alipay"))
+
+
+def record_lines_market(spark, folder):
+    """Times in milliseconds."""
+    return _through_lines(spark, folder, MARKET, "ms", user_id=F.col("user_id").cast("string"), behavior=F.upper("event_type"),
+                          channel=F.concat(F.lit("c"), (F.col("item_id") % 6).cast("string")))
+
+
 def window_arith(spark, folder):
     ts = F.col("ts")
     return events(spark, folder).select(
@@ -279,6 +315,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ad_clicks_sliding, market_by_channel, market_by_channel_windows, login_fail_burst, login_fail_burst_long, login_fail_pair,
         login_fail_pair_unbounded, login_fail_pattern, order_pay_pattern, order_lifecycle, pay_receipt_match,
         pay_receipt_match_first, pay_receipt_match_users, pay_receipt_match_pairs, late_rows, log_lines_parse, record_lines,
-        record_lines_parse, window_arith,
+        record_lines_parse, record_lines_ad_clicks, record_lines_logins, record_lines_orders, record_lines_receipts, record_lines_market,
+        window_arith,
     )
 }

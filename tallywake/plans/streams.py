@@ -20,7 +20,7 @@ from tallywake.session import checkpoint_root
 from tallywake.sources.lines import decode_access_log
 from tallywake.streaming.event_time import after_watermark, with_event_time
 from tallywake.streaming.late import tag_late_stream
-from tallywake.streaming.sinks import EachBatch, ranked, to_folder, write_stream
+from tallywake.streaming.sinks import EachBatch, by_outcome, ranked, to_folder, write_stream
 
 CLOSING = "TIMESTAMP '2999-12-31 00:00:00'"
 # The closing row's event_id; those of the table are not negative.
@@ -109,6 +109,20 @@ def stream_click_outcomes(spark, folder):
     return run(spark, folder, _outcomes).select("event_id", "user_id", "ad_id", "ts", "outcome")
 
 
+def stream_click_sides(spark, folder):
+    """Each outcome in a sink of its own; rows without an outcome, here those of one kind, in the sink for the rest."""
+    def outcomes(source: Source) -> DataFrame:
+        return _outcomes(source).withColumn("outcome", F.when(F.col("ad_id") != "signup", F.col("outcome")))
+
+    def sides(sink: EachBatch) -> EachBatch:
+        def to(side: str, place: int) -> EachBatch:
+            return lambda rows, batch_id: sink(rows.withColumn("side", F.lit(side)), 3 * batch_id + place)
+
+        return by_outcome({"pass": to("clicks", 0), "blacklist": to("warnings", 1)}, to("others", 2))
+
+    return run(spark, folder, outcomes, through=sides).select("event_id", "ts", "outcome", "side")
+
+
 def stream_click_cap_daily(spark, folder):
     """One click a day (UTC+8) of each user and kind, and the first one over it."""
     out = run(spark, folder, lambda ev: _outcomes(ev, 1, "daily"))
@@ -193,7 +207,7 @@ def stream_late_requests(spark, folder):
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         stream_hot_items_topn, stream_hot_pages_topn, stream_page_views_hourly, stream_page_views_salted,
-        stream_unique_visitors_hourly, stream_click_outcomes, stream_click_cap_daily, stream_ad_clicks_sliding, stream_market_by_channel,
+        stream_unique_visitors_hourly, stream_click_outcomes, stream_click_sides, stream_click_cap_daily, stream_ad_clicks_sliding, stream_market_by_channel,
         stream_login_fail_burst, stream_login_fail_pair, stream_login_fail_pattern, stream_order_pay_pattern,
         stream_order_lifecycle, stream_pay_receipt_match, stream_pay_receipt_pairs, stream_late_rows, stream_late_requests,
     )

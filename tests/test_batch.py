@@ -4,8 +4,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallywake.operators import counts
 from tallywake.operators.bursts import failure_bursts
 from tallywake.operators.caps import blacklist, cap_outcomes, click_cap
 from tallywake.operators.consecutive import consecutive_pattern
@@ -270,3 +272,32 @@ def test_late_rows_against_a_walk(spark):
 
 def test_times_helper_agrees(spark):
     assert seconds(at(2.5)) == 2.5
+
+
+def test_sliding_counts_over_many_chunks(spark, monkeypatch):
+    """Chunks of a few panes, keys with gaps of whole chunks and a null key: the same stretches as in one chunk."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "a", "b", None]), round(rng.choice([0, 5000, 5100]) + rng.uniform(0, 400), 1)) for _ in range(300)]
+    df = frame(spark, rows, "k string, t double")
+    whole = Counter(tuple(r) for r in counts.sliding_intervals(df, ["k"], "ts", "1 minute", "10 seconds").collect())
+    monkeypatch.setattr(counts, "CHUNK_PANES", 3)
+    cut = Counter(tuple(r) for r in counts.sliding_intervals(df, ["k"], "ts", "1 minute", "10 seconds").collect())
+    assert cut == whole and len({r[0] for r in whole}) == 3
+    expanded = Counter(tuple(r) for r in counts.sliding_count(df, ["k"], "ts", "1 minute", "10 seconds").collect())
+    w = F.window("ts", "1 minute", "10 seconds").alias("w")
+    want = df.groupBy("k", w).agg(F.count(F.lit(1)).alias("cnt")).select("k", "w.end", "cnt")
+    assert expanded == Counter(tuple(r) for r in want.collect())
+
+
+def test_limits_beyond_what_spark_limits(spark):
+    rows = spark.range(6000).select(
+        (F.col("id") % 2).alias("k"), F.col("id").alias("seq"), F.timestamp_seconds((F.col("id") * 7919) % 3001).alias("ts"))
+    got = cap_outcomes(rows, ["k"], "ts", "seq", 2500)
+    nth = F.row_number().over(Window.partitionBy("k").orderBy("ts", "seq"))
+    want = rows.withColumn("nth", nth).where("nth <= 2501")
+    assert Counter(tuple(r) for r in got.select("k", "seq", "nth").collect()) == Counter(tuple(r) for r in want.select("k", "seq", "nth").collect())
+    assert got.where("outcome = 'blacklist'").count() == 2
+    counted = rows.select(F.col("seq").alias("item"), (F.col("seq") % 97).alias("cnt"), F.col("k").alias("window_end"))
+    place = F.row_number().over(Window.partitionBy("window_end").orderBy(F.desc("cnt"), "item"))
+    best = counted.withColumn("row_num", place).where("row_num <= 2000")
+    assert Counter(tuple(r) for r in top_n(counted, "item", 2000).collect()) == Counter(tuple(r) for r in best.collect())

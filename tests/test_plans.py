@@ -45,7 +45,7 @@ def test_ranks_are_limited_before_the_shuffle(spark, name):
 
 
 @pytest.mark.parametrize("name", ["login_fail_burst", "login_fail_pair", "login_fail_pattern", "order_pay_pattern",
-                                  "pay_receipt_match"])
+                                  "pay_receipt_match", "ad_clicks_sliding", "market_by_channel", "hot_pages_topn"])
 def test_keys_are_shared_out_by_time_chunk(spark, name):
     shuffles = [part.split(")")[0] for part in plan(spark, name).split("Exchange hashpartitioning(")[1:]]
     assert any("chunk" in s for s in shuffles)
