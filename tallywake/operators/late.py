@@ -14,17 +14,23 @@ from tallywake.functions.times import last_window_end, window_end
 
 
 def tag_late(df: DataFrame, ts: str, source: str, position: Sequence[str], size: str, slide: str | None = None,
-             delay: str = "10 seconds", lateness: str = "0 seconds", chunk_rows: int = 1_000_000) -> DataFrame:
+             delay: str = "10 seconds", lateness: str = "0 seconds", chunk_rows: int = 1_000_000,
+             newest: DataFrame | None = None) -> DataFrame:
     """Add `watermark` (newest event time of the source's earlier rows, less `delay`) and `is_late`.
 
     `position` orders the rows of a source by arrival; its first column is a bigint such as an offset. A
     row is late when its last window, kept open for `lateness`, was closed by the watermark.
 
     A source may hold a large part of all rows, so the running maximum is made per stretch of
-    `chunk_rows` positions and carried over from the stretches' own maxima, one row each.
+    `chunk_rows` positions and carried over from the stretches' own maxima, one row each. `newest`, one row (source, newest)
+    for each, is the newest event time of rows that came before those of `df`.
     """
     df = df.withColumn(CHUNK, chunk_of(F.col(position[0]), chunk_rows))
     stretch_max = df.groupBy(source, CHUNK).agg(F.max(ts).alias("_max"))
+    if newest is not None:
+        # As a stretch before all others.
+        first = newest.select(F.col(source), F.lit(-(1 << 62)).alias(CHUNK), F.col("newest").alias("_max"))
+        stretch_max = stretch_max.unionByName(first)
     earlier = Window.partitionBy(source).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = stretch_max.select(F.col(source).alias("_s"), F.col(CHUNK).alias("_c"),
                                  F.max("_max").over(earlier).alias("_carried"))

@@ -19,7 +19,7 @@ from tallywake.plans.tables import table
 from tallywake.session import checkpoint_root
 from tallywake.sources.lines import decode_access_log
 from tallywake.streaming.event_time import after_watermark, with_event_time
-from tallywake.streaming.late import tag_late_stream
+from tallywake.streaming.late import tagging_late
 from tallywake.streaming.sinks import EachBatch, by_outcome, ranked, to_folder, write_stream
 
 CLOSING = "TIMESTAMP '2999-12-31 00:00:00'"
@@ -30,9 +30,9 @@ Source = Callable[[], DataFrame]
 
 
 def run(spark: SparkSession, folder: str, build: Callable[[Source], DataFrame], mode: str = "append",
-        through: Callable[[EachBatch], EachBatch] | None = None, files: int | None = None) -> DataFrame:
+        through: Callable[[str, EachBatch], EachBatch] | None = None, files: int | None = None) -> DataFrame:
     """Run the stream that `build` makes of the table `events` to its end; its output as a table, `batch` being the
-    micro-batch of a row. `through` puts a step before the sink; `files` is the most files of a micro-batch.
+    micro-batch of a row. `through` puts a step before the sink, given a scratch folder; `files` is the most files of a micro-batch.
 
     First all files are taken. Then the closing row is put in a folder the stream watches as well, and the query goes on from its
     checkpoint: the row can so be in no micro-batch before the last.
@@ -56,7 +56,7 @@ def run(spark: SparkSession, folder: str, build: Callable[[Source], DataFrame],
     for last in (False, True):
         if last:
             closing.write.mode("append").parquet(f"{home}/closing")
-        write_stream(stream, f"run-{uuid.uuid4().hex}", through(sink) if through else sink, mode, f"{home}/state",
+        write_stream(stream, f"run-{uuid.uuid4().hex}", through(f"{home}/scratch", sink) if through else sink, mode, f"{home}/state",
                      {"availableNow": True}).awaitTermination()
     return batch.plain(spark.read.parquet(f"{home}/out"))
 
@@ -76,7 +76,7 @@ def orders(source: Source) -> DataFrame:
 
 
 def stream_hot_items_topn(spark, folder):
-    out = run(spark, folder, lambda ev: jobs.item_counts(behavior(ev), "view", None), through=lambda sink: ranked("item_id", 3, sink))
+    out = run(spark, folder, lambda ev: jobs.item_counts(behavior(ev), "view", None), through=lambda _, sink: ranked("item_id", 3, sink))
     return out.select("item_id", "window_end", "cnt", "row_num")
 
 
@@ -114,7 +114,7 @@ def stream_click_sides(spark, folder):
     def outcomes(source: Source) -> DataFrame:
         return _outcomes(source).withColumn("outcome", F.when(F.col("ad_id") != "signup", F.col("outcome")))
 
-    def sides(sink: EachBatch) -> EachBatch:
+    def sides(_: str, sink: EachBatch) -> EachBatch:
         def to(side: str, place: int) -> EachBatch:
             return lambda rows, batch_id: sink(rows.withColumn("side", F.lit(side)), 3 * batch_id + place)
 
@@ -185,13 +185,14 @@ def stream_pay_receipt_pairs(spark, folder):
 
 
 def stream_late_rows(spark, folder):
-    def tagged(source: Source) -> DataFrame:
-        ev = source().where(F.col("event_id") != CLOSING_ID).select(
+    """Every row with its source's watermark at its arrival; a source is worked on by many tasks."""
+    def arrivals(source: Source) -> DataFrame:
+        return source().where(F.col("event_id") != CLOSING_ID).select(
             "event_id", "ts", (F.col("event_id") % 4).alias("source"),
             (F.col("event_id") + (F.col("event_id") * 7919) % 97).alias("arrival"))
-        return tag_late_stream(ev, "ts", "source", ["arrival", "event_id"], "1 hour", delay="4 hours")
 
-    return run(spark, folder, tagged).drop("batch")
+    return run(spark, folder, arrivals, through=lambda scratch, sink: tagging_late(
+        "ts", "source", ["arrival", "event_id"], "1 hour", scratch, sink, delay="4 hours", chunk_rows=1000)).drop("batch")
 
 
 def stream_late_requests(spark, folder):

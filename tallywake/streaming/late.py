@@ -11,7 +11,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallywake.functions.durations import interval, micros
 from tallywake.functions.times import epoch_micros, last_window_end
+from tallywake.operators.late import tag_late
+from tallywake.session import removed
 from tallywake.streaming.in_order import row_maker
+from tallywake.streaming.sinks import EachBatch
 
 
 class NewestSoFar(StatefulProcessor):
@@ -38,9 +41,31 @@ class NewestSoFar(StatefulProcessor):
         pass
 
 
+def tagging_late(ts: str, source: str, position: Sequence[str], size: str, state_folder: str, sink: EachBatch, slide: str | None = None,
+                 delay: str = "10 seconds", lateness: str = "0 seconds", chunk_rows: int = 1_000_000) -> EachBatch:
+    """`tag_late` on each micro-batch, for sources that hold a large part of all rows: a source's rows are spread over tasks by
+    stretches of positions. The newest event time of each source, one row, is a small table of the micro-batch, which the next one
+    reads; a micro-batch that runs again replaces its own, and the one two before is deleted."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            own = batch.groupBy(source).agg(F.max(ts).alias("newest"))
+            before = spark.read.schema(own.schema).parquet(f"{state_folder}/batch={batch_id - 1}") if batch_id else None
+            both = own if before is None else own.unionByName(before.select(*own.columns))
+            both.groupBy(source).agg(F.max("newest").alias("newest")).write.mode("overwrite").parquet(f"{state_folder}/batch={batch_id}")
+            sink(tag_late(batch, ts, source, position, size, slide, delay, lateness, chunk_rows, before), batch_id)
+        finally:
+            batch.unpersist()
+        removed(spark, f"{state_folder}/batch={batch_id - 2}")
+
+    return each
+
+
 def tag_late_stream(df: DataFrame, ts: str, source: str, position: Sequence[str], size: str, slide: str | None = None,
                     delay: str = "10 seconds", lateness: str = "0 seconds") -> DataFrame:
-    """Batch form: operators.late.tag_late. State is one time per source; positions must rise from one
+    """Batch form: operators.late.tag_late. State is one time per source, whose rows pass one task of a micro-batch (see
+    `tagging_late` for sources that are too large for that); positions must rise from one
     micro-batch to the next, as offsets do."""
     columns = [source, *[c for c in df.columns if c != source]]
     places = [F.col(c).alias(f"_p{i}") for i, c in enumerate(position)]

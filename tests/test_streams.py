@@ -18,7 +18,7 @@ from tallywake.streaming.counts import (distinct_count_stream, salted_count_stre
                                         sliding_intervals_stream, tumbling_count_stream, with_event_time)
 from tallywake.streaming.detectors import (cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
                                            followed_by_stream, order_lifecycle_stream)
-from tallywake.streaming.late import tag_late_stream
+from tallywake.streaming.late import tag_late_stream, tagging_late
 from tallywake.streaming.match import interval_match_stream
 from tallywake.streaming.sinks import by_outcome, ranked, reranked, to_folder, write_stream
 from tests.rows import bursts, frame, in_a_row, random_logins, seconds
@@ -226,6 +226,20 @@ def test_late_rows(spark, tmp_path):
     assert {r[-1] for r in want} == {True, False}
 
 
+def test_late_rows_of_a_source_in_many_tasks(spark, tmp_path):
+    """Small stretches over several micro-batches: the newest time goes from one to the next, and old states go."""
+    rng = random.Random(16)
+    rows = [(rng.choice("pppq"), i, round(i * 2 + rng.uniform(-60, 60), 1)) for i in range(120)]
+    stream, whole = arrive(spark, tmp_path, rows, "src string, pos bigint, t double", ("z", 10**6, YEAR), files=4)
+    columns = ["src", "pos", "t", "watermark", "is_late"]
+    sink = tagging_late("ts", "src", ["pos"], "20 seconds", str(tmp_path / "newest"), to_folder(str(tmp_path / "out")), "10 seconds",
+                        "10 seconds", "5 seconds", chunk_rows=7)
+    got = finish(stream, tmp_path, sink=sink)
+    want = rows_of(tag_late(whole, "ts", "src", ["pos"], "20 seconds", "10 seconds", "10 seconds", "5 seconds"), *columns)
+    assert rows_of(got.where("src != 'z'"), *columns) == want
+    assert len([f for f in (tmp_path / "newest").iterdir() if f.name.startswith("batch=")]) == 2
+
+
 def test_restart_goes_on_from_its_checkpoint(spark, tmp_path):
     """Two runs over a growing folder give what one run over all of it gives."""
     rows = shuffled(random_logins(21, 5, 25, 60, 0.8))
