@@ -117,9 +117,12 @@ def test_windows_fire_again_for_late_rows_only(spark, tmp_path):
 
 
 def test_ranks_follow_late_rows_and_are_dropped(spark, tmp_path):
+    """Late rows of the third micro-batch change ranks that the second has shown."""
     rng = random.Random(13)
-    rows = shuffled([(rng.choice("aaab"), rng.randint(1, 8), round(rng.uniform(0, 120), 2)) for _ in range(150)])
-    stream, whole = arrive(spark, tmp_path, rows, EVENTS, ("z", 0, YEAR), files=16)
+    early = [("a", rng.randint(1, 8), round(rng.uniform(0, 120), 2)) for _ in range(80)] + [("a", 1, 120.0)]
+    late = [("b", user, t) for user in (7, 7, 7, 8) for t in (88.0, 104.0)]
+    stream = steps(spark, tmp_path, [early, [("a", 2, 121.0)], late, [("z", 0, YEAR)]])
+    whole = frame(spark, [*early, ("a", 2, 121.0), *late], EVENTS)
     counts = refiring_counts(with_event_time(stream, "ts", "2 seconds"), ["user_id"], "ts", "30 seconds", "10 seconds", "60 seconds")
     ranks = refiring_ranks(counts.select("user_id", "window_end", "cnt"), "user_id", 3, "60 seconds", "1 minute")
     query = write_stream(ranks, "ranks", to_folder(str(tmp_path / "out")), checkpoint=str(tmp_path / "state"), trigger={"availableNow": True})
