@@ -62,10 +62,10 @@ def chunks(docs: DataFrame, min_words: int = MIN_WORDS, modulus: int = MODULUS,
     lined = docs.select("_id", "_print", F.split("text", "\n").alias("lines"))
     hashed = lined.select(
         "_id", "_print", F.transform("lines", lambda x: F.xxhash64(x)).alias("hs"),
-        F.transform("lines", _words).alias("ws"), F.transform("lines", lambda x: F.md5(x)).alias("ms"))
+        F.transform("lines", _words).alias("ws"))
     n = F.size("hs")
-    starts = F.filter(_numbers(n), lambda i: (i == 0) | ((i >= 2) & (F.conv(F.substring(F.md5(F.concat(
-        F.get("ms", i - 2), F.get("ms", i - 1))), 1, 7), 16, 10).cast("int") % modulus == 0)))
+    starts = F.filter(_numbers(n), lambda i: (i == 0) | (
+        (i >= 2) & (F.pmod(F.xxhash64(F.get("hs", i - 2), F.get("hs", i - 1)), F.lit(modulus)) == 0)))
     cut = hashed.withColumn("starts", starts)
     spans = F.transform("starts", lambda at, k: F.struct(
         at.alias("start"), (F.coalesce(F.get("starts", k + 1), n) - at).alias("n")))

@@ -1,6 +1,5 @@
 """Near duplicates, line chunks and the pipeline against plain-Python readings of their rules."""
 
-import hashlib
 import random
 import re
 from collections import defaultdict
@@ -116,9 +115,13 @@ def test_simhash_one_of_each(spark):
 def chunks(lines, min_words, modulus, reach):
     """(first line, lines) by the three families of the rule."""
     size = [len(words(x)) for x in lines]
-    digest = [hashlib.md5(x.encode()).hexdigest() for x in lines]
-    cuts = [i for i in range(len(lines)) if i == 0 or (
-        i >= 2 and int(hashlib.md5((digest[i - 2] + digest[i - 1]).encode()).hexdigest()[:7], 16) % modulus == 0)]
+    digest = [xxhash.xxh64_digest(x.encode(), 42)[::-1] for x in lines]
+
+    def rolled(a, b):
+        value = xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))
+        return value - (1 << 64) if value >> 63 else value
+
+    cuts = [i for i in range(len(lines)) if i == 0 or (i >= 2 and rolled(digest[i - 2], digest[i - 1]) % modulus == 0)]
     found = {(a, b - a) for a, b in zip(cuts, [*cuts[1:], len(lines)]) if sum(size[a:b]) >= min_words}
     for i in range(len(lines)):
         if size[i]:
