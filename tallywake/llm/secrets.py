@@ -29,13 +29,21 @@ KINDS = ("assign", "access", "hex", "novel")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.:~!@%-]{8,}")
 CONTEXT = re.compile(r"key|token|secret|passw|auth|credential|bearer|private|pwd", re.IGNORECASE | re.ASCII)
 # Characters between a context word and the candidate at most, on both sides that prime the compressor, and the bytes of the
-# dictionary. Spans longer than LONGEST are measured by their first so many characters.
-NEAR, AROUND, DICTIONARY, LONGEST = 40, 512, 1 << 14, 4096
+# dictionary.
+NEAR, AROUND, DICTIONARY = 40, 512, 1 << 14
 # A line looks like code if it has two signs of these.
-CODE_LINE = re.compile(rb"[^\n]*[{}();=<>\[\]][^\n]*[{}();=<>\[\]][^\n]*")
+SIGNS = b"{}();=<>[]"
+NO_SIGNS = bytes(set(range(256)) - set(SIGNS))
 IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_]{2,40}")
 
 
+def code_lines(body: bytes) -> list[bytes]:
+    """The lines that look like code; one pass over the text, however long its lines are."""
+    if len(body.translate(None, NO_SIGNS)) < 2:
+        return []
+    return [line for line in body.split(b"\n") if len(line.translate(None, NO_SIGNS)) >= 2]
+
+
 def identifiers(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> bytes:
     """The most frequent identifiers of the code-like lines of all texts, the most frequent last, up to `size` bytes.
 
@@ -52,7 +60,7 @@ def identifiers(docs: DataFrame, text: str = "text", size: int = DICTIONARY) ->
 
         for batch in batches:
             for body in column_bytes(batch, "text"):
-                for line in CODE_LINE.findall(body or b""):
+                for line in code_lines(body or b""):
                     sums.update(w for w in IDENTIFIER.findall(line) if w.translate(None, b"0123456789") == w)
             if len(sums) > 1 << 18:
                 yield taken()
@@ -77,14 +85,13 @@ def base(text: str) -> list[tuple[int, int, int]]:
 
 
 def novelty(text: str, start: int, end: int, known: bytes, around: int = AROUND) -> float:
-    """Bytes that the candidate adds per byte of it, given identifiers and what is around it."""
+    """Bytes that the whole candidate adds per byte of it, given identifiers and what is around it."""
     import zstandard
 
-    end_here = min(end, start + LONGEST)
     near = (text[end:end + around] + "\n" + text[max(0, start - around):start]).encode("utf-8", "replace")
     primed = zstandard.ZstdCompressionDict(b"\n".join((known, near)).rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     params = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=0, write_checksum=0, write_dict_id=0)
-    lead, own = near[-64:], text[start:end_here].encode()
+    lead, own = near[-64:], text[start:end].encode()
 
     def size(data: bytes) -> int:
         return len(zstandard.ZstdCompressor(dict_data=primed, compression_params=params).compress(data))

@@ -234,6 +234,22 @@ def test_novel_spans_are_planted_secrets():
     assert not any(secrets.novel(t, 0.7, secrets.base(t), known) for t in clean)
 
 
+def test_novelty_is_that_of_the_whole_candidate():
+    rng, known = random.Random(3), b"request session"
+    plain = string.ascii_letters + string.digits
+    drawn = "".join(rng.choice(plain) for _ in range(150_000))
+    dull_end, dull_start = "key " + drawn[:4096] + "a1" * 50_000, "key " + "a1" * 2048 + drawn
+    assert secrets.novel(dull_end, 0.7, [], known) == []
+    assert secrets.novel(dull_start, 0.7, [], known) == [(4, 3, len(dull_start))]
+
+
+def test_code_lines_of_long_lines():
+    start, one_sign = time.perf_counter(), b"word " * 100_000 + b"(" + b"word " * 100_000
+    assert secrets.code_lines(one_sign) == []
+    assert secrets.code_lines(one_sign + b"\nf(x)\n\n(\n;=") == [b"f(x)", b";="]
+    assert time.perf_counter() - start < 10
+
+
 def test_identifiers_are_learnt_and_scans_are_linear(spark):
     code = "x = fetch_rows(client, limit);\nfetch_rows(client);\nprose without any sign of it"
     docs = spark.createDataFrame([(code, 1), (code, 2), (None, 3), ("", 4)], "text string, _text int")
