@@ -114,6 +114,25 @@ def test_sampler_agrees_with_all_seatings_by_hand():
         assert met[t] / 20_000 == pytest.approx(weight[t] / total, abs=0.02)
 
 
+def test_a_sweep_moves_every_customer():
+    """400 customers of one word at many more tables than they would open: a sweep takes away more than one of them."""
+    zero, one = np.zeros(pitman_yor.CONTEXTS), np.zeros(pitman_yor.LETTERS)
+    seats = pitman_yor.Seats(np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([400]), 1, (0.5, 0.5, 0.5))
+    seats.t2[:] = 300
+    seats._count()
+    seats.sweep(pitman_yor.Totals((zero, one, 1.0), (zero, one, 1.0)), 0.5, np.random.default_rng(2))
+    assert seats.t2[0] < 290 and seats.n1[0] == seats.t2[0]
+
+
+def test_chance_to_sit_alone_of_many_customers():
+    """Beyond the table it is that of a larger table."""
+    tables = np.array([1, 2, 5, 40, 300, 900, 1024])
+    for discount in (0.4, 0.6, 0.9):
+        seats = pitman_yor.Seats(np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([3]), 1, (discount,) * 3)
+        want = pitman_yor.closing(discount, 1024)[1024, tables]
+        assert seats._alone(0, np.full(len(tables), 1024), tables) == pytest.approx(want, rel=0.03)
+
+
 def test_symbol_model_sums_to_one_and_meets_its_rule(spark):
     """Each context's probabilities add up to one; the model is the one a plain reading of the rule gives."""
     texts = ["The cat sat on the mat. The cat!", "a dog, a cat, a mat", None, ""]
