@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+import tempfile
+from collections.abc import Callable, Iterator, Sequence
+from heapq import merge
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -16,6 +20,35 @@ from tallywake.session import removed
 from tallywake.streaming.in_order import row_maker
 from tallywake.streaming.sinks import EachBatch
 
+BLOCK = 100  # rows of a stretch that are read back at once
+
+
+def sorted_rows(rows: Iterator[tuple], key: Callable[[tuple], tuple], most: int = 20_000) -> Iterator[tuple]:
+    """The rows in order, of which `most` are in memory at once, and besides a block of each stretch of so many: sorted stretches
+    wait in a local file until all have come."""
+    stretch = sorted(islice(rows, most), key=key)
+    if len(stretch) < most:
+        yield from stretch
+        return
+    with tempfile.TemporaryFile() as file:
+        def written(stretch: list[tuple]) -> list[int]:
+            places = []
+            for at in range(0, len(stretch), BLOCK):
+                places.append(file.tell())
+                pickle.dump(stretch[at:at + BLOCK], file, pickle.HIGHEST_PROTOCOL)
+            return places
+
+        def read(places: list[int]) -> Iterator[tuple]:
+            for place in places:
+                file.seek(place)
+                yield from pickle.load(file)
+
+        stretches = []
+        while stretch:
+            stretches.append(written(stretch))
+            stretch = sorted(islice(rows, most), key=key)
+        yield from merge(*map(read, stretches), key=key)
+
 
 class NewestSoFar(StatefulProcessor):
     """Adds to each row of a source the newest event time of the rows before it."""
@@ -30,7 +63,7 @@ class NewestSoFar(StatefulProcessor):
         named = row_maker(self.names)
         stored = self.newest.get()
         newest = stored[0] if stored else None
-        for row in sorted((tuple(r) for r in rows), key=lambda r: r[-self.places:]):
+        for row in sorted_rows((tuple(r) for r in rows), lambda r: r[-self.places:]):
             us = row[-self.places - 1]
             yield named((*row[: -self.places - 1], newest))
             newest = us if newest is None or (us is not None and us > newest) else newest
@@ -64,8 +97,8 @@ def tagging_late(ts: str, source: str, position: Sequence[str], size: str, state
 
 def tag_late_stream(df: DataFrame, ts: str, source: str, position: Sequence[str], size: str, slide: str | None = None,
                     delay: str = "10 seconds", lateness: str = "0 seconds") -> DataFrame:
-    """Batch form: operators.late.tag_late. State is one time per source, whose rows pass one task of a micro-batch (see
-    `tagging_late` for sources that are too large for that); positions must rise from one
+    """Batch form: operators.late.tag_late. State is one time per source, whose rows pass one task of a micro-batch and are
+    sorted there with few in memory (see `tagging_late` for sources that are too large for one task); positions must rise from one
     micro-batch to the next, as offsets do."""
     columns = [source, *[c for c in df.columns if c != source]]
     places = [F.col(c).alias(f"_p{i}") for i, c in enumerate(position)]

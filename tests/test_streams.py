@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -18,7 +19,7 @@ from tallywake.streaming.counts import (distinct_count_stream, salted_count_stre
                                         sliding_intervals_stream, tumbling_count_stream, with_event_time)
 from tallywake.streaming.detectors import (cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
                                            followed_by_stream, order_lifecycle_stream)
-from tallywake.streaming.late import tag_late_stream, tagging_late
+from tallywake.streaming.late import NewestSoFar, sorted_rows, tag_late_stream, tagging_late
 from tallywake.streaming.match import interval_match_stream
 from tallywake.streaming.sinks import by_outcome, ranked, reranked, to_folder, write_stream
 from tests.rows import bursts, frame, in_a_row, random_logins, seconds
@@ -240,6 +241,35 @@ def test_late_rows_of_a_source_in_many_tasks(spark, tmp_path):
     assert len([f for f in (tmp_path / "newest").iterdir() if f.name.startswith("batch=")]) == 2
 
 
+def test_sorting_the_rows_of_a_source_takes_little_memory():
+    def rows(n):
+        return ((f"url {i} of some length", i, (i * 7919) % n) for i in range(n))
+
+    assert list(sorted_rows(rows(1_001), lambda r: r[-1:], 100)) == sorted(rows(1_001), key=lambda r: r[-1:])
+    peaks = []
+    for n in (60_001, 240_007):
+        tracemalloc.start()
+        newest = NewestSoFar(1, ["url", "us_newest"])
+        newest.newest = Value()
+        assert sum(1 for _ in newest.handleInputRows(("p",), rows(n), None)) == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    print(peaks)
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+class Value:
+    """A value state outside Spark."""
+
+    held = None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
 def test_restart_goes_on_from_its_checkpoint(spark, tmp_path):
     """Two runs over a growing folder give what one run over all of it gives."""
     rows = shuffled(random_logins(21, 5, 25, 60, 0.8))
