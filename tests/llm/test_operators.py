@@ -165,6 +165,25 @@ def test_symbol_model_sums_to_one_and_meets_its_rule(spark):
         assert math.exp(model.logs[at]) == pytest.approx(p(gram), rel=1e-4)
 
 
+def test_orders_of_the_symbol_model_meet_by_joins(spark, capsys):
+    """Counts of an order and the probabilities of the order below are joined on Spark, by context less its first symbol."""
+    n = kneser_ney.SYMBOLS
+    counted = {(1, 2): 3, (1, 5): 1, (4, 2): 2}
+    level = spark.createDataFrame([(a * n + b, k) for (a, b), k in counted.items()], "gram bigint, n bigint")
+    below = np.arange(1, n + 1) / (n * (n + 1) / 2)
+    lower = spark.createDataFrame([(0, below.tolist())], "context bigint, shares array<double>")
+    cut = kneser_ney.discounts({1: 1, 2: 1, 3: 1})
+    for every, contexts in ((True, range(n)), (False, (1, 4))):
+        found = kneser_ney.joined(level, lower, 2, cut, every)
+        found.explain()
+        assert capsys.readouterr().out.count("SortMergeJoin") == 1 + every
+        rows = {r["context"]: r["shares"] for r in found.collect()}
+        assert set(rows) == set(contexts)
+        for context, shares in rows.items():
+            seen = np.array([[counted.get((context, b), 0) for b in range(n)]])
+            assert shares == kneser_ney.interpolated(seen, below[None], cut)[0].tolist()
+
+
 def test_language(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden with the tree", "en"), ("das Haus und der Garten mit dem Baum", "de")] * 5)]
     known = language.prototypes(spark.createDataFrame([*rows, (None, None, None)], "doc_id bigint, text string, lang string"))
