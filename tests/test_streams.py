@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywake.operators.caps import cap_outcomes
 from tallywake.operators.counts import distinct_count, expand_intervals, sliding_count, tumbling_count
@@ -17,7 +19,7 @@ from tallywake.operators.orders import followed_by, order_lifecycle
 from tallywake.operators.rank import top_n
 from tallywake.streaming.counts import (distinct_count_stream, salted_count_stream, sliding_count_stream,
                                         sliding_intervals_stream, tumbling_count_stream, with_event_time)
-from tallywake.streaming.detectors import (cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
+from tallywake.streaming.detectors import (Cap, Lifecycle, cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
                                            followed_by_stream, order_lifecycle_stream)
 from tallywake.streaming.late import NewestSoFar, sorted_rows, tag_late_stream, tagging_late
 from tallywake.streaming.match import interval_match_stream
@@ -295,3 +297,53 @@ def test_rows_past_the_watermark_are_dropped(spark, tmp_path):
     stream, _ = arrive(spark, tmp_path, rows, EVENTS, ("z", 0, YEAR), files=4)
     counted = with_event_time(stream, "ts", "10 seconds").groupBy(F.window("ts", "10 seconds").alias("w")).count()
     assert sum(r["count"] for r in finish(counted, tmp_path).collect()) == 3
+
+
+class ListStates:
+    """The lists of one state, which count the calls that would leave the process."""
+
+    def __init__(self):
+        self.lists, self.calls, self.timers, self.watermark = {}, 0, [], 0
+
+    def getListState(self, name, schema):
+        def call(change):
+            def done(values=()):
+                self.calls += 1
+                own = self.lists.setdefault(name, [])
+                own[:] = change(own, list(values))
+                return iter(list(own))
+            return done
+
+        return SimpleNamespace(get=call(lambda own, _: own), put=call(lambda _, new: new), appendList=call(lambda own, new: own + new),
+                               clear=call(lambda own, _: []))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+@pytest.mark.parametrize("make, rows, found", [
+    (lambda: Cap(1), lambda k: [(k, 2_000, 1, 0, None, "b"), (k, 1_000, 0, 0, None, "a")], lambda k: [(k, "a", "pass"), (k, "b", "blacklist")]),
+    (lambda: Lifecycle(1_000, 0, 10**9), lambda k: [(k, 1_500, 1, False, True), (k, 1_000, 0, True, False)], lambda k: [(k, 1_000, 1_500, "paid")]),
+])
+def test_keys_that_share_a_state_share_its_calls(make, rows, found):
+    """A hundred keys, a null and two NaN (one key) among them, cost as few calls as one and stay apart."""
+    keys = [*range(98), None, float("nan"), float("nan")]
+    handle, detector = ListStates(), make()
+    detector.names, detector.key_fields = ["key", "x", "y", "z"][:len(found(0)[0])], [T.StructField("key", T.LongType())]
+    detector.memory_fields = T.StructType.fromDDL(detector.memory_schema).fields
+    detector.init(handle)
+    given = [(0, *row) for k in keys[:-1] for row in rows(k)]
+    random.Random(1).shuffle(given)
+    # One row of the key NaN is another object than the others.
+    given = [(0, float("nan"), *r[2:]) if r[1] != r[1] else r for r in given]
+    assert list(detector.handleInputRows((0,), iter(given), handle)) == []
+    handle.watermark = 3
+    out = list(detector.handleExpiredTimer((0,), handle, None))
+    assert Counter(map(repr, map(tuple, out))) == Counter(repr(r) for k in keys[:-1] for r in found(k))
+    assert handle.calls <= 10 and handle.timers[0] == 1
+    handle.watermark = 4
+    assert list(detector.handleInputRows((0,), iter([(0, 5, 3_500, 9, 0, None, "c")] if make().__class__ is Cap else []), handle)) == []
