@@ -16,6 +16,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -277,21 +278,20 @@ def pack(docs: DataFrame, vocab: str, capacity: int = CAPACITY, key: str = "doc_
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     place = docs.sparkSession.sparkContext.broadcast(slots(plan(histogram, capacity, gap)))
     within = F.row_number().over(Window.partitionBy("length", "_share").orderBy(key, "piece", "ids_crc32")) - 1
-    ranked = dealt.withColumn("_at", within).join(bases, ["length", "_share"]).select(
-        *cut.columns, (F.col("_before") + F.col("_at")).alias("_slot"))
-    schema = StructType([*cut.schema.fields]).add("sequence_id", "long").add("offset", "long")
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths, numbers = (batch.column(c).to_numpy() for c in ("length", "_slot"))
-            sequences, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-            for length in np.unique(lengths):
-                rows = np.flatnonzero(lengths == length)
-                first, sequence, each, offset = place.value[int(length)]
-                at = np.searchsorted(first, numbers[rows], "right") - 1
-                nth = numbers[rows] - first[at]
-                sequences[rows] = sequence[at] + nth // each[at]
-                offsets[rows] = offset[at] + nth % each[at] * length
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequences), pa.array(offsets)], schema.names)
-
-    return ranked.mapInArrow(step, schema)
+    ranked = dealt.withColumn("_at", within).join(bases, ["length", "_share"])
+
+    # Only lengths and numbers go to Python, not the ids.
+    @F.pandas_udf("sequence_id long, offset long")
+    def placed(length: pd.Series, slot: pd.Series) -> pd.DataFrame:
+        lengths, numbers = length.to_numpy(), slot.to_numpy()
+        sequences, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        for length in np.unique(lengths):
+            rows = np.flatnonzero(lengths == length)
+            first, sequence, each, offset = place.value[int(length)]
+            at = np.searchsorted(first, numbers[rows], "right") - 1
+            nth = numbers[rows] - first[at]
+            sequences[rows] = sequence[at] + nth // each[at]
+            offsets[rows] = offset[at] + nth % each[at] * length
+        return pd.DataFrame({"sequence_id": sequences, "offset": offsets})
+
+    return ranked.withColumn("_placed", placed("length", F.col("_before") + F.col("_at"))).select(*cut.columns, "_placed.*")
