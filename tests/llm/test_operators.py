@@ -133,6 +133,19 @@ def test_chance_to_sit_alone_of_many_customers():
         assert seats._alone(0, np.full(len(tables), 1024), tables) == pytest.approx(want, rel=0.03)
 
 
+def test_stored_seats_go_on_as_if_never_stored():
+    """A sweep from stored seats gives what the next one in memory gives, so that no sweep has to be done again."""
+    rng = np.random.default_rng(3)
+    pairs = np.unique(rng.integers(0, 50 * pitman_yor.CONTEXTS, 400))
+    seats = pitman_yor.Seats(pairs // pitman_yor.CONTEXTS, pairs % pitman_yor.CONTEXTS, rng.integers(1, 900, len(pairs)), 50, (0.4, 0.6, 0.8))
+    totals = pitman_yor.Totals.of(seats.sums())
+    for _ in range(3):
+        other, numbers = pitman_yor.resumed(pitman_yor.saved(seats, rng), seats.discounts)
+        seats.sweep(totals, 0.01, rng)
+        other.sweep(totals, 0.01, numbers)
+        assert (seats.sums() == other.sums()).all() and all((getattr(seats, c) == getattr(other, c)).all() for c in ("t2", "n1", "t1", "n0", "t0"))
+
+
 def test_symbol_model_sums_to_one_and_meets_its_rule(spark):
     """Each context's probabilities add up to one; the model is the one a plain reading of the rule gives."""
     texts = ["The cat sat on the mat. The cat!", "a dog, a cat, a mat", None, ""]
