@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -12,9 +15,17 @@ import pyarrow as pa
 from tallywake.llm.common import column_bytes, of_process, sliced
 
 # Words whose ids a process keeps (it starts anew beyond that, which changes no result), and bytes of those it does.
-WORDS, LONGEST = 1 << 20, 64
+WORDS, LONGEST = 1 << 19, 64
 # New words are encoded so many at a time, with this between them.
 TOGETHER, BETWEEN = 512, "|"
+# A word of letters of ASCII and Latin-1, with ASCII marks after them or not.
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]*)")
+# The normalizer and pre-tokenizer by which such a word's ids are those of its letters in lower case and those of its marks.
+LOWERS = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PARTS = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -24,6 +35,65 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _plain(vocab: str) -> bool:
+    """Whether the vocabulary takes words of PLAIN as their letters and their marks, and none of its added tokens is in one."""
+    with open(vocab, encoding="utf-8") as file:
+        parts = json.load(file)
+    return parts["normalizer"] == LOWERS and parts["pre_tokenizer"] == PARTS and all(
+        re.search(rb"[!-/:-@\[-`{-~][A-Za-z]", t["content"].encode()) for t in parts["added_tokens"])
+
+
+class Known(dict):
+    """Ids by word. What is missing and plain is put together from the model's ids of its letters, of which there are fewer than
+    words; what is not plain is None and in `late`."""
+
+    def __init__(self, tokenizer, plain: bool) -> None:
+        from tokenizers import pre_tokenizers
+
+        super().__init__()
+        self.tokenizer, self.model, self.plain = tokenizer, tokenizer.model, plain
+        self.late: set[bytes] = set()
+        self.long: list[bytes] = []
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+
+    def __missing__(self, word: bytes) -> bytes | None:
+        match = PLAIN.fullmatch(word.decode()) if self.plain else None
+        if not match:
+            self.late.add(word)
+            return None
+        letters, marks = match.groups()
+        lower = letters.lower()
+        if marks or lower != letters:
+            ids = self[lower.encode()]
+            if marks:
+                ids += self.of_marks(marks)
+        else:
+            found = self.model.tokenize(lower if word.isascii() else lower.translate(self.letters))
+            ids = struct.pack(f"<{len(found)}I", *(t.id for t in found))
+        self.put(word, ids)
+        return ids
+
+    def of_marks(self, marks: str) -> bytes:
+        key = marks.encode()
+        if key not in self:
+            self.put(key, np.array(self.tokenizer.encode(marks, add_special_tokens=False).ids, "<u4").tobytes())
+        return self[key]
+
+    def put(self, word: bytes, ids: bytes) -> None:
+        self[word] = ids
+        if len(word) > LONGEST:
+            self.long.append(word)
+
+    def forget(self) -> None:
+        """Drop the long words, and all where there are many."""
+        for word in self.long:
+            self.pop(word, None)
+        self.long = []
+        if len(self) > WORDS:
+            self.clear()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, put together from those of their words.
 
@@ -36,7 +106,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocab)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Known(self.tokenizer, _plain(vocab))
         mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -58,16 +128,15 @@ class Encoder:
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         split = [t.split() if t else [] for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > WORDS:
-            self.known, new = {}, set().union(*split)
-        words = list(new)
-        own = dict(zip(words, self._words(words)))
-        self.known |= own
-        joined = [b"".join(map(self.known.__getitem__, ws)) for ws in split]
-        for word in own:
-            if len(word) > LONGEST:
-                del self.known[word]
+        found = [list(map(self.known.__getitem__, words)) for words in split]
+        if self.known.late:
+            late = list(self.known.late)
+            for word, ids in zip(late, self._words(late)):
+                self.known.put(word, ids)
+            self.known.late.clear()
+            found = [list(map(self.known.__getitem__, words)) if None in own else own for own, words in zip(found, split)]
+        joined = [b"".join(own) for own in found]
+        self.known.forget()
         return joined
 
 

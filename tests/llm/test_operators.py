@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, kneser_ney, language, packing, pitman_yor, quality_rules, records, secrets
+from tallywake.llm import decontaminate, kneser_ney, language, packing, pitman_yor, quality_rules, records, secrets, tokens
 from tallywake.llm.tokens import vocabulary
 
 LONG = " ".join(f"word{i % 97}" for i in range(9000))
@@ -377,3 +377,22 @@ def test_columns_of_any_name_are_kept(spark, docs):
         twice = [[str(r[c]) for c in sorted(more)] for r in rows if r["doc_id"] == 3]
         assert len(twice) == 2 and twice[0] == twice[1]
     assert records.token_file(clash, vocabulary()).count() == len(TEXTS) + 2
+
+
+def test_encoder_reads_letters_before_the_whole_word():
+    words = ["Thensh.", "thensh", "THENSH!!", "Ñandú's", "ñandú,", "ÀÉß×÷ÿ", "abc'", "abc's", "a.b", "x<|endoftext|>", "abc|", "|abc", "É́", "Σ", "42a,",
+             "x" * 70, "Y" * 70 + "."]
+    encoder = tokens.Encoder(tokens.vocabulary())
+    whole = encoder.tokenizer
+    found = encoder.ids([w.encode() for w in words] + [" ".join(words).encode(), None])
+    want = [np.array(whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert found == [*want, b"".join(want), b""]
+    # Letters are looked up once, whatever their case and the marks after them, and long words are not kept.
+    asked = []
+    encoder = tokens.Encoder(tokens.vocabulary())
+    model = encoder.known.model
+    encoder.known.model = type("Model", (), {"tokenize": staticmethod(lambda w: asked.append(w) or model.tokenize(w))})
+    encoder.ids([b"Thensh. thensh THENSH!! thensh, Thensh"])
+    assert asked == ["thensh"]
+    encoder.ids([b"x" * 70, b"Y" * 70 + b"."])
+    assert max(map(len, encoder.known)) <= tokens.LONGEST and tokens.WORDS <= 1 << 19
