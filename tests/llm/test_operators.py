@@ -396,3 +396,15 @@ def test_encoder_reads_letters_before_the_whole_word():
     assert asked == ["thensh"]
     encoder.ids([b"x" * 70, b"Y" * 70 + b"."])
     assert max(map(len, encoder.known)) <= tokens.LONGEST and tokens.WORDS <= 1 << 19
+
+
+def test_pitman_yor_counts_pairs_and_numbers_in_one_go():
+    rng = np.random.default_rng(4)
+    pairs, learn = rng.integers(0, 50, 400), rng.integers(0, 2, 400).astype(bool)
+    found, ns = pitman_yor._counted(pairs, learn)
+    assert found.tolist() == sorted(set(pairs.tolist())) and ns.tolist() == [int(learn[pairs == p].sum()) for p in found]
+    texts = [rng.integers(0, 1 << 24, n) for n in (1, 5, 0, 300)]
+    ids, sizes = pitman_yor._of_planes([pitman_yor._planes(t) for t in texts])
+    assert sizes.tolist() == [1, 5, 0, 300] and (ids == np.concatenate(texts)).all()
+    # Tables of Stirling numbers are made once for equal discounts.
+    assert pitman_yor.closings((0.3, 0.2, 0.1)) is pitman_yor.closings((0.3, 0.2, 0.1))
