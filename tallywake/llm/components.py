@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallywake.llm.common import stored
 
 
+# Links that one task writes at least; a round's files are as many as its links ask for, not as shuffles have partitions.
+LINKS = 1 << 18
+
+
 def _to_least(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with the least of u and of all that u has edges to, as `m`."""
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -33,6 +37,7 @@ def components(links: DataFrame) -> DataFrame:
         large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         small = _to_least(down).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = stored(small.where("u <> v").distinct(), "links")
+        # A round at most doubles the links, whose number is known.
+        edges = stored(small.where("u <> v").distinct().coalesce(2 * state[0] // LINKS + 1), "links")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.union(alone.join(stars, "node", "left_anti").distinct())

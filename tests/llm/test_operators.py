@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallywake.llm import decontaminate, kneser_ney, language, packing, pitman_yor, quality_rules, records, secrets, tokens
+from tallywake.llm import components, decontaminate, kneser_ney, language, packing, pitman_yor, quality_rules, records, secrets, tokens
 from tallywake.llm.tokens import vocabulary
 
 LONG = " ".join(f"word{i % 97}" for i in range(9000))
@@ -408,3 +408,23 @@ def test_pitman_yor_counts_pairs_and_numbers_in_one_go():
     assert sizes.tolist() == [1, 5, 0, 300] and (ids == np.concatenate(texts)).all()
     # Tables of Stirling numbers are made once for equal discounts.
     assert pitman_yor.closings((0.3, 0.2, 0.1)) is pitman_yor.closings((0.3, 0.2, 0.1))
+
+
+def test_rounds_of_components_write_files_by_links(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint")
+    files, kept = [], components.stored
+
+    def counted(df, name):
+        found = kept(df, name)
+        files.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(components, "stored", counted)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components.components(links).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert {(r["node"], r["root"]) for r in found if r["node"]} == {(i, 0) for i in range(1, 41)}
+    assert len(files) > 2 and set(files[1:]) == {1}
