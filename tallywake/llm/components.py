@@ -14,7 +14,8 @@ LINKS = 1 << 18
 
 def _to_least(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with the least of u and of all that u has edges to, as `m`."""
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # Never a broadcast: links grow with the input, and Spark takes exploded ones for half of what they are.
+    least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).hint("merge")
     return edges.join(least, "u")
 
 
@@ -40,4 +41,4 @@ def components(links: DataFrame) -> DataFrame:
         # A round at most doubles the links, whose number is known.
         edges = stored(small.where("u <> v").distinct().coalesce(2 * state[0] // LINKS + 1), "links")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stars.union(alone.join(stars, "node", "left_anti").distinct())
+    return stars.union(alone.join(stars.hint("merge"), "node", "left_anti").distinct())

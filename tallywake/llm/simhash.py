@@ -99,7 +99,8 @@ def links(prints: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame
     blocks is a piece of work, so no variant is gathered whole, and a piece gives less links than it has members.
     """
     keyed = variants(prints, distance)
-    sizes = keyed.groupBy("variant").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # Spark sizes the variants as if they were as many as the fingerprints, so what meets them is never left to its size checks.
+    sizes = keyed.groupBy("variant").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").hint("merge")
     shared = keyed.join(sizes, "variant").withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
     shared = shared.withColumn("_own", F.pmod(F.xxhash64("fingerprint"), F.col("_blocks")).cast("int"))
     pairs = F.transform(
@@ -137,11 +138,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     rows = stored(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle), "prints")
     distinct = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-prints")
     roots = components(links(distinct.select("fingerprint"), distance))
-    rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").select(
+    # All of these grow with the documents, and a file may be far smaller than its rows in memory: no broadcast at any size.
+    rooted = distinct.join(roots.hint("merge"), distinct.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(named, "root").select("fingerprint", "component_id"), "components")
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = stored(rooted.join(named.hint("merge"), "root").select("fingerprint", "component_id"), "components")
+    return rows.join(named.hint("merge"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def hex_digits(fingerprint: str = "fingerprint"):
@@ -157,5 +159,5 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     # The row as one struct, so that no column of it can clash with the names used here.
     whole = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_print"), F.struct(*docs.columns).alias("_row"))
-    named = whole.join(kept, F.col("_id") == F.col("_kept")).groupBy("_kept").agg(F.min_by("_row", "_print").alias("_row"))
+    named = whole.join(kept.hint("merge"), F.col("_id") == F.col("_kept")).groupBy("_kept").agg(F.min_by("_row", "_print").alias("_row"))
     return named.select("_row.*").unionByName(docs.where(F.col(doc_id).isNull()))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallywake.llm import line_dedup, simhash
+from tallywake.llm import components, line_dedup, simhash
 from tallywake.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
@@ -206,3 +206,20 @@ def test_pipeline_stages_take_odd_tables(spark):
             found = stage(spark, table, SF)
             assert name == "packing" or found.columns == table.columns, name
             assert found.count() >= 0
+
+
+def test_near_copies_are_found_without_broadcasts(spark, monkeypatch):
+    """Spark takes exploded variants for as few as the fingerprints; no size may make them, or what grows with them, a broadcast."""
+    plans, kept = [], simhash.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "stored", seen)
+    prints = spark.createDataFrame([(1,), (3,), (7 << 20,), (5 << 20,), (1 << 50,)], "fingerprint bigint")
+    assert {(r["node"], r["root"]) for r in components.components(simhash.links(prints)).collect()} >= {(3, 1), (7 << 20, 1)}
+    found = simhash.one_of_each(spark.createDataFrame([(1, "one two"), (2, "one two"), (3, None)], "doc_id bigint, text string"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 6 and [p for p in plans if "Broadcast" in p] == []
