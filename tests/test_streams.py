@@ -17,6 +17,7 @@ from tallywake.operators.late import tag_late
 from tallywake.operators.match import interval_match
 from tallywake.operators.orders import followed_by, order_lifecycle
 from tallywake.operators.rank import top_n
+from tallywake.plans import jobs, stream_jobs
 from tallywake.streaming.counts import (distinct_count_stream, salted_count_stream, sliding_count_stream,
                                         sliding_intervals_stream, tumbling_count_stream, with_event_time)
 from tallywake.streaming.detectors import (Cap, Lifecycle, cap_outcomes_stream, consecutive_pattern_stream, failure_bursts_stream,
@@ -243,6 +244,26 @@ def test_late_rows_of_a_source_in_many_tasks(spark, tmp_path):
     assert len([f for f in (tmp_path / "newest").iterdir() if f.name.startswith("batch=")]) == 2
 
 
+def test_late_requests_of_a_source_are_many_tasks_work(spark, tmp_path):
+    """Two micro-batches of a log with one source give what the batch form gives, without a function per row and by stretches of rows."""
+    rng = random.Random(17)
+    rows = [("p", rng.choice(["GET", "POST"]), rng.choice(["/a", "/b.css"]), i, round(i * 2 + rng.uniform(-60, 60), 1)) for i in range(120)]
+    log = frame(spark, rows, "src string, method string, url string, pos bigint, t double")
+    windows, found, plans = ("20 seconds", "10 seconds", "10 seconds", "5 seconds"), [], []
+
+    def sink(late, batch_id):
+        found.extend(late.collect())
+        plans.append(late._jdf.queryExecution().executedPlan().toString())
+
+    each = stream_jobs.late_requests("src", ["pos"], str(tmp_path / "newest"), sink, *windows, chunk_rows=7)
+    each(log.where("pos < 50"), 0)
+    each(log.where("pos >= 50"), 1)
+    want = jobs.page_requests(tag_late(log, "ts", "src", ["pos"], *windows)).where("is_late").collect()
+    assert want and sorted(r["pos"] for r in found) == sorted(r["pos"] for r in want)
+    assert {(r["pos"], r["watermark"]) for r in found} == {(r["pos"], r["watermark"]) for r in want}
+    assert all("Python" not in p and "TransformWithState" not in p and "hashpartitioning(src" in p and "chunk" in p for p in plans)
+
+
 def test_sorting_the_rows_of_a_source_takes_little_memory():
     def rows(n):
         return ((f"url {i} of some length", i, (i * 7919) % n) for i in range(n))
