@@ -197,6 +197,54 @@ def test_orders_of_the_symbol_model_meet_by_joins(spark, capsys):
             assert shares == kneser_ney.interpolated(seen, below[None], cut)[0].tolist()
 
 
+def test_words_are_judged_by_the_word_before(spark, monkeypatch):
+    """The perplexity is that of a plain reading of the rule: pairs of words, words by how many they follow, letters; and units do not matter."""
+    rng = random.Random(9)
+    vocab = [f"{a}{b}" for a in ("the", "Cat", "sat", "ma", "é", "x1") for b in ("", "s", "é")]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 30))) + rng.choice(["", "\n", " \n"]) for _ in range(60)]
+    texts += [None, "", " \n", "quite unheard of", texts[0], "w" * 3000]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    taught = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    letters = kneser_ney.train(docs.where(F.col("doc_id").isin(taught))).logs
+    classes = kneser_ney._classes()
+    pairs = Counter()
+    for i in taught:
+        pairs.update(zip([b"\n", *words(texts[i])], words(texts[i])))
+    after, total = Counter(w for _, w in pairs), Counter()
+    for (c, _), n in pairs.items():
+        total[c] += n
+    cut, low = (kneser_ney.discounts(Counter(c.values())) for c in (pairs, after))
+    all_after = sum(after.values())
+    freed = sum(low[min(n, 3)] for n in after.values()) / all_after
+
+    def log_of(text):
+        raw, found, before = text.encode(), 0.0, b"\n"
+        symbols = [kneser_ney.SPACE_SYMBOL] * 3 + [int(classes[b]) for b in raw]
+        for word in re.finditer(rb"[^ \t-\r]+", raw):
+            w = word.group().lower()
+            spelt = sum(letters[sum(s * 64 ** (3 - k) for k, s in enumerate(symbols[at:at + 4]))] for at in range(word.start(), min(word.end() + 1, len(raw))))
+            p = math.log(freed) + spelt
+            if after[w]:
+                p = np.logaddexp(p, math.log((after[w] - low[min(after[w], 3)]) / all_after))
+            if total[before]:
+                gamma = sum(cut[min(n, 3)] for (c, _), n in pairs.items() if c == before) / total[before]
+                p += math.log(gamma)
+                if pairs[before, w]:
+                    p = np.logaddexp(p, math.log((pairs[before, w] - cut[min(pairs[before, w], 3)]) / total[before]))
+            found, before = found + p, w
+        return -found / len(raw)
+
+    for unit in (16 << 20, 64):
+        monkeypatch.setattr(kneser_ney, "UNIT", unit)
+        found = {r["doc_id"]: r for r in kneser_ney.judge(docs, docs.where("doc_id < 40")).collect()}
+        assert len(found) == len(texts)
+        for i, text in enumerate(texts):
+            if words(text):
+                assert found[i]["log_perplexity"] == pytest.approx(log_of(text), rel=1e-4)
+            else:
+                assert found[i]["log_perplexity"] is None and not found[i]["kept"]
+
+
 def test_language(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden with the tree", "en"), ("das Haus und der Garten mit dem Baum", "de")] * 5)]
     known = language.prototypes(spark.createDataFrame([*rows, (None, None, None)], "doc_id bigint, text string, lang string"))
